@@ -1,11 +1,13 @@
 """The registered queries of this subpackage and their SQL, by name."""
 
-from . import quality, sharding
+from . import neardup, quality, sharding
 
 QUERIES = {
+    "op1_minhash_forest": neardup.op1_minhash_forest,
     "op6_virtual_slots": sharding.op6_virtual_slots,
     "op8_host_rules": quality.op8_host_rules,
 }
 SQL = {
+    "op1_minhash_forest": neardup.OP1_SQL,
     "op8_host_rules": quality.OP8_SQL,
 }
