@@ -1,11 +1,14 @@
 """The registered queries of this subpackage and their SQL, by name."""
 
-from . import neardup, quality, sharding
+from . import decontaminate, language, neardup, quality, sharding, toxicity
 
 QUERIES = {
     "op1_minhash_forest": neardup.op1_minhash_forest,
+    "op4_classifier_chain": toxicity.op4_classifier_chain,
+    "op5_language_mixture": language.op5_language_mixture,
     "op6_virtual_slots": sharding.op6_virtual_slots,
     "op8_host_rules": quality.op8_host_rules,
+    "op10_cgk_edit_lsh": decontaminate.op10_cgk_edit_lsh,
 }
 SQL = {
     "op1_minhash_forest": neardup.OP1_SQL,
