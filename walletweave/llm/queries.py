@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL, by name."""
 
-from . import decontaminate, language, neardup, quality, sharding, toxicity
+from . import decontaminate, language, neardup, quality, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_minhash_forest": neardup.op1_minhash_forest,
+    "op3_multipart_secrets": secrets.op3_multipart_secrets,
     "op4_classifier_chain": toxicity.op4_classifier_chain,
     "op5_language_mixture": language.op5_language_mixture,
     "op6_virtual_slots": sharding.op6_virtual_slots,
@@ -12,5 +13,6 @@ QUERIES = {
 }
 SQL = {
     "op1_minhash_forest": neardup.OP1_SQL,
+    "op3_multipart_secrets": secrets.OP3_SQL,
     "op8_host_rules": quality.OP8_SQL,
 }
