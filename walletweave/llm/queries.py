@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL, by name."""
 
-from . import decontaminate, language, neardup, quality, secrets, sharding, toxicity
+from . import decontaminate, language, neardup, pieces, quality, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_minhash_forest": neardup.op1_minhash_forest,
+    "op2_gumbel_top_k": pieces.op2_gumbel_top_k,
     "op3_multipart_secrets": secrets.op3_multipart_secrets,
     "op4_classifier_chain": toxicity.op4_classifier_chain,
     "op5_language_mixture": language.op5_language_mixture,
