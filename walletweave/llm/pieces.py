@@ -47,7 +47,7 @@ BYTE_SCORE = -12.0
 #: Characters of text solved together.
 SLICE = 400_000
 WIDE = 1 << 24  # ids from here stand for a character encoded as several bytes
-MARK = ""  # stands for a literal blank mark while chunking
+MARK = "\ud800"  # stands for a literal blank mark while chunking; no valid text holds it
 
 
 def read_vocabulary(path: str = MODEL) -> dict:
