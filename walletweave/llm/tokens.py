@@ -28,7 +28,7 @@ BLOCK = 1 << 16
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
 #: Fixed value: the public pre-tokenisation pattern of this vocabulary.
-PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def encoder(ranks: bytes):
