@@ -1 +1 @@
-
+"""DataFrame operators, from resolved state to evaluated snapshots."""

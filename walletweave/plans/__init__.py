@@ -1 +1 @@
-
+"""Stored tables, run lifecycles, served reads and the registered queries."""

@@ -1 +1 @@
-
+"""Inputs: JSON-RPC blocks and receipts, decoded logs, curated seeds."""
