@@ -1,13 +1,15 @@
-"""Shared helpers: table access, shared-storage staging, hot-key-safe components."""
+"""Shared helpers; staging and components come from the library."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.staging import drop_stage, stage
+from ..operators.components import connected_components
+
+__all__ = ["SPACE_CLASS", "WORD_CLASS", "connected_components", "drop_stage", "let", "stage", "table", "words_of"]
+
 #: ASCII white space as the word rule names it: space and \x09-\x0D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
@@ -17,38 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` where it is set.
-
-    Unset, a local master (tests) uses the temp folder, and a cluster its warehouse.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return f"file://{tempfile.gettempdir()}/checkpoints/walletweave"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to shared storage and read it back: cuts lineage, survives executor loss."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stage_path = path
-    return out
-
-
-def drop_stage(df: DataFrame) -> None:
-    """Delete a staged table that no later plan reads."""
-    path = getattr(df, "_stage_path", None)
-    if path:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
-
-
 def let(value, body):
     """Bind a column once inside an expression: ``body`` gets a lambda variable.
 
@@ -60,53 +30,3 @@ def let(value, body):
 def words_of(text):
     """Words of a text as an array; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")
-
-
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Connected components of undirected long edges: (node, root), root the least node.
-
-    Alternating large-star and small-star rounds, each written to shared storage, until
-    nothing changes. Minima are pre-aggregated before the shuffle and the join that deals
-    them back is a plain equi-join that AQE splits where a hub is hot. Nodes without an
-    edge other than to themselves do not appear.
-    """
-    cur = stage(
-        edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-        .select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m"))
-        .distinct(),
-        "cc",
-    )
-
-    def mark(df):
-        return tuple(
-            df.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
-        )
-
-    before = mark(cur)
-    while before[0]:
-        both = cur.select(F.col("v").alias("u"), F.col("m").alias("w")).unionAll(
-            cur.select(F.col("m").alias("u"), F.col("v").alias("w"))
-        )
-        least = both.groupBy("u").agg(F.min("w").alias("lo"))
-        large = (
-            both.join(least, "u")
-            .where("w > u")
-            .select(F.col("w").alias("v"), F.least("lo", "u").alias("m"))
-            .distinct()
-        )
-        least = large.groupBy("v").agg(F.min("m").alias("lo"))
-        small = (
-            large.join(least, "v")
-            .select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("lo").alias("m")),
-                                      F.struct(F.col("v"), F.col("lo").alias("m")))).alias("e"))
-            .select("e.v", "e.m").where("v <> m").distinct()
-        )
-        nxt = stage(small, "cc")
-        after = mark(nxt)
-        drop_stage(cur)
-        cur = nxt
-        if after == before:
-            break
-        before = after
-    roots = cur.select(F.col("m").alias("v"), "m").distinct()
-    return cur.unionAll(roots).select(F.col("v").alias("node"), F.col("m").alias("root"))

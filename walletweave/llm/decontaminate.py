@@ -8,9 +8,9 @@ table finds a window with probability 1/4, and all tables miss it with (3/4)**(W
 about 1e-4: the target recall is ``TARGET_RECALL``. Window-item pairs that share a bucket are
 verified by exact edit distance of the item to its best-fitting passage.
 
-Windows are admitted where they can match at all: an item of n words with at most k edits
-keeps one of k+1 parts unedited, so a window without one of the item's word runs of that length is
-skipped without loss.
+Windows are admitted where they can match at all. An item of n words and a passage at most k edits
+from it share at least n - q + 1 - k q places of equal runs of q words (and one run where that is
+less than one), so places with fewer of the item's runs near them are skipped without loss.
 
 The benchmark is used in blocks of ``BLOCK_ITEMS`` items; one block's size is bounded and it is
 all that is sent to the tasks, so a larger benchmark means more passes.
@@ -40,6 +40,8 @@ BLOCK_ITEMS = 20_000
 #: Word edits allowed, as a share of the item's words.
 MAX_EDITS = 0.2
 RUN = 3
+#: Documents whose windows are embedded together.
+SLICE = 1000
 
 
 def word_hashes(text: str | None, memo: WordHashes) -> np.ndarray:
@@ -56,19 +58,25 @@ def run_length(n: int) -> int:
     return max(1, min(RUN, n // (allowed(n) + 1)))
 
 
-def embed_keys(seq: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-    """Bucket keys [windows, WALKS * TABLES] of the windows of n words at ``starts``."""
+def shared_runs(n: int) -> int:
+    """Places of equal word runs that ``allowed(n)`` edits must leave."""
+    q = run_length(n)
+    return max(1, n - q + 1 - allowed(n) * q)
+
+
+def embed_keys(seq: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Bucket keys [windows, WALKS * TABLES] of the windows of n words at ``starts``; texts end at ``ends``."""
     rng = np.random.default_rng(n)
     out = np.empty((len(starts), WALKS * TABLES), dtype=np.uint64)
     for walk in range(WALKS):
         seeds = rng.integers(1, 2**63, 3 * n, dtype=np.uint64)
         picks = rng.integers(0, 2 * n, (TABLES, BITS))
-        at = np.zeros(len(starts), dtype=np.int64)
+        at, stop = starts.copy(), np.minimum(starts + n, ends)
         steps = int(picks.max()) + 1
         y = np.empty((steps, len(starts)), dtype=np.uint64)
         for j in range(steps):
-            inside = at < n
-            y[j] = np.where(inside, seq[starts + np.minimum(at, n - 1)], np.uint64(0))
+            inside = at < stop
+            y[j] = np.where(inside, seq[np.minimum(at, stop - 1)], np.uint64(0))
             at += ((mix(y[j] ^ seeds[j]) >> np.uint64(63)).astype(np.int64)) & inside
         for t in range(TABLES):
             key = np.full(len(starts), np.uint64(walk * TABLES + t + 1))
@@ -96,25 +104,35 @@ def best_fit(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(row[end]), end - int(back.argmin()), end
 
 
+def _flat(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts end to end, and where each begins (and the last ends)."""
+    bounds = np.concatenate([[0], np.cumsum([len(h) for h in texts])]).astype(np.int64)
+    return (np.concatenate(texts) if texts else np.empty(0, dtype=np.uint64)), bounds
+
+
 class Index:
     """The hash tables of one block of items."""
 
     def __init__(self, items: list[tuple[int, str]]):
         memo = WordHashes()
         self.items = [(i, h) for i, t in items if len(h := word_hashes(t, memo))]
-        self.tables: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        by_size: dict[int, list[int]] = defaultdict(list)
         runs: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         for k, (_, h) in enumerate(self.items):
-            n = len(h)
-            for key in embed_keys(h, np.zeros(1, dtype=np.int64), n)[0].tolist():
-                self.tables[n][key].append(k)
-            q = run_length(n)
-            for key in rolling(h, q).tolist():
-                runs[q][key].add(n)
+            by_size[len(h)].append(k)
+            for key in rolling(h, run_length(len(h))).tolist():
+                runs[run_length(len(h))][key].add(len(h))
+        self.tables: dict[int, dict[int, list[int]]] = {}
+        for n, who in by_size.items():
+            seq, bounds = _flat([self.items[k][1] for k in who])
+            table = self.tables[n] = defaultdict(list)
+            for k, keys in zip(who, embed_keys(seq, bounds[:-1], bounds[1:], n).tolist(), strict=True):
+                for key in keys:
+                    table[key].append(k)
         self.runs = {q: (np.array(sorted(x), dtype=np.uint64), x) for q, x in runs.items()}
 
-    def matches(self, h: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(item number, edits, start, end) of every item found in the word sequence."""
+    def admitted(self, h: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """(n, starts) of the windows of the text that can match an item of n words."""
         spans: dict[int, list[int]] = defaultdict(list)
         for q, (keys, sizes) in self.runs.items():
             if len(h) < q:
@@ -124,40 +142,48 @@ class Index:
             for p in np.flatnonzero(hit).tolist():
                 for n in sizes[int(r[p])]:
                     spans[n].append(p)
-        best: dict[int, tuple[int, int, int]] = {}
         for n, hits in spans.items():
-            k = allowed(n)
+            k, q, least, top = allowed(n), run_length(n), shared_runs(n), max(0, len(h) - n)
             if len(h) < n - k:
                 continue
-            top = max(0, len(h) - n)
-            mark = np.zeros(top + 2, dtype=np.int64)
-            for p in hits:
-                mark[min(top, max(0, p - n - k + 1))] += 1
-                mark[min(top, p) + 1] -= 1
-            starts = np.flatnonzero(np.cumsum(mark)[:-1])
-            seq = h if len(h) >= n else np.append(h, np.zeros(n - len(h), dtype=np.uint64))
-            found = defaultdict(list)
-            for j in range(0, len(starts), 4096):
-                part = starts[j:j + 4096]
-                table = self.tables[n]
-                for s, keys in zip(part.tolist(), embed_keys(seq, part, n).tolist(), strict=True):
+            starts: set[int] = set()
+            for first, last in zip(hits, hits[least - 1:], strict=False):
+                if last - first <= n + k - q:
+                    starts.update(range(min(top, max(0, last + q - n - k)), min(top, first) + 1))
+            if starts:
+                yield n, sorted(starts)
+
+    def matches(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
+        """(text number, item number, edits, start, end): the best passage of every item found."""
+        seq, bounds = _flat(texts)
+        windows: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for d, h in enumerate(texts):
+            if len(h):
+                for n, starts in self.admitted(h):
+                    windows[n] += [(d, s) for s in starts]
+        found: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for n, rows in windows.items():
+            table = self.tables[n]
+            for j in range(0, len(rows), 8192):
+                who, at = np.array(rows[j:j + 8192], dtype=np.int64).T
+                for d, s, keys in zip(who.tolist(), at.tolist(), embed_keys(seq, bounds[who] + at, bounds[who + 1], n).tolist(), strict=True):
                     for key in keys:
                         if key in table:
                             for item in table[key]:
-                                found[item].append(s)
-            for item, at in found.items():
-                own = self.items[item][1]
-                seen = -1
-                for s in sorted(set(at)):
-                    if s <= seen:
-                        continue  # inside the passage that was compared last
-                    lo, hi = max(0, s - k), min(len(h), s + 2 * n + 2 * k)
-                    seen = hi - n - 2 * k
-                    edits, a, b = best_fit(own, h[lo:hi])
-                    if edits <= k and (item not in best or edits < best[item][0]):
-                        best[item] = (edits, lo + a, lo + b)
-        for item, (edits, a, b) in sorted(best.items()):
-            yield item, edits, a, b
+                                found[d, item].add(s)
+        for (d, item), starts in sorted(found.items()):
+            own, h = self.items[item][1], texts[d]
+            n, k, seen, best = len(own), allowed(len(own)), -1, None
+            for s in sorted(starts):
+                if s <= seen:
+                    continue  # inside the passage that was compared last
+                lo, hi = max(0, s - k), min(len(h), s + 2 * n + 2 * k)
+                seen = hi - n - 2 * k
+                edits, a, b = best_fit(own, h[lo:hi])
+                if edits <= k and (best is None or edits < best[0]):
+                    best = edits, lo + a, lo + b
+            if best:
+                yield d, item, *best
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
@@ -180,13 +206,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         def run(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
             index, memo = Index(block.value), WordHashes()
             for pdf in batches:
-                found = []
-                for k, t in zip(pdf["k"], pdf["t"], strict=True):
-                    h = word_hashes(t, memo)
-                    for i, edits, a, b in index.matches(h) if len(h) else ():
-                        name, own = index.items[i]
-                        found.append((k, name, len(own), edits, 1 - edits / len(own), a, b))
-                yield pd.DataFrame(found, columns=["k", "item_id", "n_words", "edits", "similarity", "start_word", "end_word"])
+                for lo in range(0, len(pdf), SLICE):
+                    part = pdf.iloc[lo:lo + SLICE]
+                    rows = list(index.matches([word_hashes(t, memo) for t in part["t"]]))
+                    out = pd.DataFrame(rows, columns=["d", "item", "edits", "start_word", "end_word"], dtype="int64")
+                    size = np.array([len(index.items[i][1]) for i in out["item"]], dtype=np.int64)
+                    yield pd.DataFrame({
+                        "k": part["k"].to_numpy()[out["d"].to_numpy()], "item_id": [index.items[i][0] for i in out["item"]], "n_words": size,
+                        "edits": out["edits"], "similarity": 1 - out["edits"] / size, "start_word": out["start_word"], "end_word": out["end_word"]})
 
         part = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, schema)
         out = part if out is None else out.unionAll(part)

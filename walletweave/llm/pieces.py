@@ -32,6 +32,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -370,8 +371,6 @@ def sample_encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
 
 def decode(encoded: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
     """Add ``decoded``, the text of each id sequence; null ids give null."""
-    import pandas as pd
-
     held = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(model))
 
     @F.pandas_udf("string")
