@@ -11,8 +11,8 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (
-        SparkSession.builder.master("local[8]").appName("walletweave-tests")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        SparkSession.builder.master("local[4]").appName("walletweave-tests")
+        .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g")
         .getOrCreate()
     )
