@@ -12,8 +12,8 @@ entity tag decides before the modification date, that before the payload digest;
 revisit.
 
 Defined cases: null URLs never match; null times sort first and have no earlier response; equal
-times are ordered by record id; null headers are an empty map; header names are lower-cased (the
-first of names that differ in case only wins); an empty table gives an empty result. Record ids
+times are ordered by record id; null headers are an empty map; header names are lower-cased (of
+names that differ in case only, the one that sorts first wins); an empty table gives an empty result. Record ids
 are expected to be unique; a repeated revisit gives a row each.
 """
 
@@ -40,7 +40,7 @@ def canonical_url(url):
 
 
 def _headers(h):
-    low = F.transform(F.map_entries(F.coalesce(h, F.create_map().cast("map<string,string>"))),
+    low = F.transform(F.array_sort(F.map_entries(F.coalesce(h, F.create_map().cast("map<string,string>")))),
                       lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     first = F.filter(low, lambda e, i: F.array_position(F.transform(low, lambda x: x["key"]), e["key"]) == i + 1)
     return F.map_from_entries(first)
