@@ -30,6 +30,7 @@ import itertools
 import math
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -45,8 +46,9 @@ BLANK = "▁"
 LATIN = "[A-Za-z\u00c0-\u024f]"
 RANK_SHIFT = 10
 BYTE_SCORE = -12.0
+SIEVE = np.uint64(48)
 #: Characters of text solved together.
-SLICE = 400_000
+SLICE = 1_500_000
 WIDE = 1 << 24  # ids from here stand for a character encoded as several bytes
 MARK = "\ud800"  # stands for a literal blank mark while chunking; no valid text holds it
 
@@ -91,7 +93,7 @@ class Lattice:
             keys = np.array([k for k, _ in rows], dtype=np.uint64)
             ids = np.array([i for _, i in rows], dtype=np.int64)
             sieve = np.zeros(1 << 16, dtype=bool)
-            sieve[(keys >> np.uint64(48)).astype(np.int64)] = True
+            sieve[((keys * M2) >> SIEVE).view(np.int64)] = True
             self.tables[n] = (keys, ids, -np.log(ids + float(RANK_SHIFT)), sieve)
         self.longest = max(self.tables)
 
@@ -100,7 +102,7 @@ class Lattice:
         h = np.zeros(1, dtype=np.uint64)
         for p in points:
             h = h * M1 + np.uint64(p + 1)
-        return int(mix(h)[0])
+        return int(h[0])
 
     def solve(self, chunks: list[str]) -> None:
         """Edges, backward sums and cumulative choice probabilities at each place of the chunks."""
@@ -130,10 +132,10 @@ class Lattice:
             if m not in self.tables:
                 continue
             keys, own, weight, sieve = self.tables[m]
-            key = mix(h)
-            maybe = np.flatnonzero(sieve[(key >> np.uint64(48)).astype(np.int64)])
-            k = np.minimum(np.searchsorted(keys, key[maybe]), len(keys) - 1)
-            hit = keys[k] == key[maybe]
+            maybe = np.flatnonzero(sieve[((h * M2) >> SIEVE).view(np.int64)])
+            key = h[maybe]
+            k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[k] == key
             if hit.any():
                 found.append((m, at[maybe[hit]], own[k[hit]], weight[k[hit]]))
         width = max((m for m, *_ in found), default=1)  # the longest piece that occurs
@@ -277,10 +279,7 @@ def top_k(lat: Lattice, k: int, seed: int, stream) -> list[tuple]:
 def encode_slice(lat: Lattice, keys: list, texts: list[str], k: int):
     """For each text: ([(ids, log_prob, perturbed)], threshold)."""
     chunks = [lat.chunk.findall(BLANK + t.replace(BLANK, MARK).replace(" ", BLANK)) if t else [] for t in texts]
-    known: dict[str, int] = {}
-    for c in itertools.chain.from_iterable(chunks):
-        if c not in known:
-            known[c] = len(known)
+    known = {c: i for i, c in enumerate(dict.fromkeys(itertools.chain.from_iterable(chunks)))}
     lat.solve(list(known))
     ends = [0, *itertools.accumulate(map(len, chunks))]
     which = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(chunks)), dtype=np.int64, count=ends[-1])
@@ -323,7 +322,7 @@ class Decoder:
         self.raw = [byte_of.get(i) or (t or "").replace(BLANK, " ").encode() for i, t in enumerate(vocabulary["text"])]
 
     def __call__(self, ids) -> str:
-        raw = b"".join(map(self.raw.__getitem__, ids))
+        raw = b"".join(itemgetter(*ids)(self.raw)) if len(ids) > 1 else b"".join(self.raw[i] for i in ids)
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
