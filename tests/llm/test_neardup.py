@@ -63,6 +63,43 @@ def test_large_regions_are_split_without_loss(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute(rows, 3, 85))
 
 
+def template(seed, n, shared, own):
+    """Documents of one template, every third a near-copy of the one before it."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(shared)]
+    rows, last = [], None
+    for i in range(n):
+        if i % 3 == 1:
+            w = list(last)
+            for at in range(shared + 2, shared + own, own // 5):  # a similarity just above 0.85
+                w[at] = f"y{rng.randrange(10**6)}"
+        else:
+            w = base + [f"x{rng.randrange(10**6)}" for _ in range(own)]
+        rows.append((i, " ".join(w)))
+        last = w
+    return rows
+
+
+def test_regions_beyond_the_split_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "SPLIT", 2)
+    rows = template(1, 150, 170, 50)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, threshold=0.85).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute(rows, 3, 85))
+
+
+@pytest.mark.parametrize("n_blocks", range(1, 14))
+def test_every_pair_of_blocks_has_one_unit(spark, n_blocks):
+    members = spark.createDataFrame([(7, n_blocks, b) for b in range(n_blocks)], "root long, n_blocks int, block int")
+    units = {}
+    for first in range(0, n_blocks // 2 + 1, 2):
+        for r in neardup._deal(members, first, first + 2).collect():
+            units.setdefault(r.unit, set()).add((r.side, r.block))
+    pairs = sorted(tuple(sorted(b for _, b in sides)) for sides in units.values())
+    assert all(sorted(s for s, _ in sides) == [0, 1][:len(sides)] for sides in units.values())
+    assert pairs == sorted([(b,) for b in range(n_blocks)] + [(a, b) for b in range(n_blocks) for a in range(b)])
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i % 977}" for i in range(30_000))
     rows = [(1, None, "a"), (2, "", "a"), (3, " \t\n", "a"), (4, "One two", "a"), (5, "one  TWO", "a"), (6, "one two three", "a"), (7, long, "a"), (8, long, "b"),

@@ -9,10 +9,11 @@
    greater depth. Pairs whose signatures agree well enough link their nodes into regions; each
    task emits only a spanning forest of its part. The orders are range-partitioned, so a hot
    region spreads over tasks, and the rows at partition borders are stitched in a second pass.
-3. Inside a region the full shingle sets decide. A region of up to ``BLOCK`` nodes is one unit;
-   one of up to ``BLOCK`` x ``SPLIT`` nodes is dealt as pairs of blocks; a larger one is dealt
-   by deeper signature prefixes, the depth growing with its size, and compared in sliding
-   blocks. Units emit verified links of a spanning forest only.
+3. Inside a region the full shingle sets decide, and at every size all pairs meet. A region is
+   dealt into blocks of about ``BLOCK`` nodes; a unit is one block or a pair of blocks, and
+   every pair of blocks has its unit. A node goes to as many units as its region has blocks, so
+   regions of more than ``SPLIT`` + 1 blocks are dealt in passes of at most that many units a
+   node. Units emit verified links of a spanning forest only.
 4. Components of the verified links give each row its class.
 
 Defined cases: a null or blank text has no shingle and is linked with nothing; rows that share
@@ -23,6 +24,7 @@ Two different sets share a node key with probability 2**-64 a pair.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -155,13 +157,14 @@ def candidate_edges(nodes: DataFrame, agree: int) -> DataFrame:
     return found.where("kind = 0").select("a", "b").unionAll(stitched.select("a", "b"))
 
 
-def _links(sets: list[np.ndarray], nodes: list[int], percent: int, forest: Forest) -> list:
+def _links(sets: list[np.ndarray], nodes: list[int], percent: int, split: int) -> list:
     """Verified links that join parts of the forest.
 
     Sets become packed bit rows over the hashes that at least two of them have; a row is
-    compared with the earlier rows of other parts in one pass.
+    compared with the earlier rows of other parts in one pass; with ``split``, rows from there
+    on are compared with all rows before it and no others.
     """
-    n = len(sets)
+    n, forest = len(sets), Forest()
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
     _, col, times = np.unique(flat, return_inverse=True, return_counts=True)
@@ -181,9 +184,10 @@ def _links(sets: list[np.ndarray], nodes: list[int], percent: int, forest: Fores
         bits[i:j] = np.packbits(block, axis=1).view(np.uint64)
     out = []
     part = np.array([forest.root(x) for x in nodes])
-    for i in range(1, n):
-        lo, hi = np.minimum(sizes[:i], sizes[i]), np.maximum(sizes[:i], sizes[i])
-        at = np.flatnonzero((part[:i] != part[i]) & (100 * lo >= percent * hi))
+    for i in range(split or 1, n):
+        end = split or i
+        lo, hi = np.minimum(sizes[:end], sizes[i]), np.maximum(sizes[:end], sizes[i])
+        at = np.flatnonzero((part[:end] != part[i]) & (100 * lo >= percent * hi))
         if not len(at):
             continue
         common = np.concatenate([
@@ -197,42 +201,43 @@ def _links(sets: list[np.ndarray], nodes: list[int], percent: int, forest: Fores
 
 
 def verified_links(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b) links that hold on full sets, spanning each unit; texts: (unit, sub, t)."""
+    """(a, b) links that hold on full sets, spanning each unit; texts: (unit, side, t).
 
-    def unit_links(rows: Iterator[tuple[int, np.ndarray]]) -> list:
-        forest, seen, nodes, sets, out = Forest(), set(), [], [], []
-
-        def flush():
-            nonlocal nodes, sets
-            if len(nodes) > 1:
-                out.extend(_links(sets, nodes, percent, forest))
+    A unit is compared whole, whatever its size: rows of one side with those of the other, or,
+    where there is one side, all with all.
+    """
 
-        for node, s in rows:
-            if node in seen:
-                continue
-            seen.add(node)
-            nodes.append(node)
-            sets.append(s)
-            if len(nodes) >= 2 * BLOCK:  # slide: the later half meets the next block too
-                flush()
-                nodes, sets = nodes[BLOCK:], sets[BLOCK:]
-        flush()
-        return out
+    def unit_links(rows: Iterator[tuple[int, int, np.ndarray]]) -> list:
+        sides: tuple[dict, dict] = {}, {}
+        for side, node, s in rows:
+            sides[side].setdefault(node, s)
+        nodes, sets = [*sides[0], *sides[1]], [*sides[0].values(), *sides[1].values()]
+        return _links(sets, nodes, percent, len(sides[0]) if sides[1] else 0) if len(nodes) > 1 else []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = WordHashes()
 
         def stream():
             for pdf in batches:
-                for unit, t in zip(pdf["unit"].tolist(), pdf["t"], strict=True):
+                for unit, side, t in zip(pdf["unit"].tolist(), pdf["side"].tolist(), pdf["t"], strict=True):
                     s = shingle_set(t, shingle, memo)
-                    yield unit, set_key(s), s
+                    yield unit, side, set_key(s), s
 
         for _, rows in itertools.groupby(stream(), key=lambda x: x[0]):
-            if links := unit_links((node, s) for _, node, s in rows):
+            if links := unit_links(row[1:] for row in rows):
                 yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return texts.repartition("unit").sortWithinPartitions("unit", "sub").select("unit", "t").mapInPandas(run, "a long, b long")
+    return texts.repartition("unit").sortWithinPartitions("unit").mapInPandas(run, "a long, b long")
+
+
+def _deal(members: DataFrame, first: int, stop: int) -> DataFrame:
+    """Members with ``unit`` and ``side`` for the block pairs ``first`` to ``stop`` - 1 blocks apart, around the ring of blocks."""
+    units = F.expr(f"""flatten(transform(sequence({first}, cast(least({stop - 1}, n_blocks div 2) AS int)), d -> CASE
+      WHEN d = 0 THEN array(struct(xxhash64(root, d, block) AS unit, 0 AS side))
+      WHEN 2 * d = n_blocks THEN array(struct(xxhash64(root, d, block % d) AS unit, CASE WHEN block >= d THEN 1 ELSE 0 END AS side))
+      ELSE array(struct(xxhash64(root, d, block) AS unit, 0 AS side),
+                 struct(xxhash64(root, d, pmod(block - d, n_blocks)) AS unit, 1 AS side)) END))""")
+    return members.where(f"n_blocks div 2 >= {first}").withColumn("at", F.explode(units)).select("*", "at.unit", "at.side")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -246,26 +251,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     agree = math.floor(N_HASH * (threshold - SLACK))
     regions = stage(connected_components(candidate_edges(nodes.select("node", "sig"), agree)), "regions")
     sizes = regions.groupBy("root").agg(F.count("*").alias("m"))
-    # Where a unit's rows meet: one key, block pairs, or deeper prefixes of every tree.
-    deal = regions.join(sizes, "root").join(nodes, "node").withColumn(
-        "n_blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    depth = (DEPTH + F.ceil(F.log2(F.col("m") / (BLOCK * SPLIT)) * 2)).cast("int")
-    width = 2 * DEPTH
-    block = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
-    units = (
-        F.when(F.col("n_blocks") == 1, F.array(F.col("root")))
-        .when(F.col("n_blocks") <= SPLIT, F.transform(
-            F.sequence(F.lit(0), F.col("n_blocks") - 1),
-            lambda x: F.xxhash64("root", F.least(x, block), F.greatest(x, block))))
-        .otherwise(F.transform(
-            F.sequence(F.lit(0), F.lit(TREES - 1)),
-            lambda t: F.xxhash64("root", t,
-                                 F.substring(F.concat(F.col("sig"), F.col("sig")), t * width + 1, depth * 2))))
-    )
-    deal = deal.select("k", F.explode(units).alias("unit"), F.col("sig").alias("sub"))
+    members = regions.join(sizes, "root").join(nodes.select("node", "k"), "node").withColumn(
+        "n_blocks", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).select("k", "root", "n_blocks", "block")
     whole = docs.select(F.col(key).alias("__k"), F.col(text).alias("t"))
-    links = stage(verified_links(
-        deal.join(whole, deal["k"].eqNullSafe(whole["__k"])).select("unit", "sub", "t"), shingle, percent), "links")
+    most = math.ceil((sizes.agg(F.max("m")).first()[0] or 0) / BLOCK)
+    step = SPLIT // 2 + 1
+    links = []
+    for first in range(0, most // 2 + 1, step):
+        if first == step:  # texts of the large regions only
+            large = stage(members.where(f"n_blocks div 2 >= {step}").join(whole, F.col("k").eqNullSafe(whole["__k"])), "large")
+        if first:
+            texts = _deal(large, first, first + step)
+        else:
+            texts = _deal(members, 0, step).join(whole, F.col("k").eqNullSafe(whole["__k"]))
+        links.append(stage(verified_links(texts.select("unit", "side", "t"), shingle, percent), "links"))
+    links = functools.reduce(DataFrame.unionAll, links)
     parts = connected_components(links)
     named = nodes.select("node", "k").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("k").alias("component_id"))
