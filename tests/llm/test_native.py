@@ -83,6 +83,16 @@ def test_secrets(spark):
     assert by[6] == ["access", "weak", "endpoint", "ident"] and by[7] == [] and by[8] == [] and by[11] == []
 
 
+def test_long_parts_are_in_scope_of_what_follows_them(spark):
+    key, url = "Zz9/" * 300, "https://example.com/x?y=" + "-" * 900
+    texts = [f"{key} client_id=abcdefgh", f"{url} client_id=abcdefgh {B64}", f"{key}{' ' * 400}client_id=abcdefgh", f"{key}{' ' * 401}client_id=abcdefgh"]
+    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: [(x.kind, x.start, x.end) for x in r.secrets] for r in rows} == {
+        0: [("weak", 0, 1200), ("ident", 1201, 1219)], 1: [("endpoint", 0, 924), ("ident", 925, 943), ("weak", 944, 984)],
+        2: [("weak", 0, 1200), ("ident", 1600, 1618)], 3: []}
+    assert key not in secrets.redact(spark.createDataFrame([(0, texts[0])], "doc_id long, text string")).first().text
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, f"é token = \"{HEX}\" tail", 99, "s"), (2, "clean", 5, "s"), (3, None, None, "s")], "doc_id long, text string, n_chars long, source string")
     rows = {r.doc_id: r for r in secrets.redact(df).collect()}

@@ -3,9 +3,10 @@
 Base kinds stand on their own: ``assign``, ``access`` and ``hex``. Weak kinds are parts that
 mean little alone: ``ident`` (a user or client name assigned), ``weak`` (a long random-looking
 token) and ``endpoint`` (a service address). Each weak part is interval-joined with its
-document's other parts: scopes are ``SCOPE`` code points to either side, cut into bins, and the
-join is an equi-join on document and bin with the distance as a condition. It is a semi-join, so
-no pair is ever built and a bin holds at most ``SCOPE`` parts. A weak token is reported when an
+document's other parts: scopes are ``SCOPE`` code points to either side of a whole part, cut into
+bins, and the join is an equi-join on document and bin with the distance as a condition; a part
+stands in every bin that it covers. It is a semi-join, so no pair is ever built and a bin holds at
+most ``SCOPE`` parts of a kind. A weak token is reported when an
 identifier is in scope, an identifier when a secret is, an endpoint when both are.
 
 Spans are [start, end) in code points of the whole text.
@@ -70,14 +71,13 @@ def _linked(parts: DataFrame) -> DataFrame:
     flat = parts.where("size(__ident) + size(__weak) + size(__endpoint) > 0").select("__key", "__row", F.explode(F.expr(
         "concat(" + ", ".join(f"transform(__{k}, x -> struct('{k}' AS kind, {i} AS rank, x.start AS start, x.end AS end))"
                               for i, (k, *_) in enumerate(KINDS)) + ")")).alias("p")).select("__key", "__row", "p.*").distinct()
-    flat = flat.withColumn("bin", F.expr(f"start div {SCOPE}"))
-
     def in_scope(left, roles):
         near = flat.where(F.col("kind").isin(*roles)).select(
             F.col("__key").alias("k2"), F.col("__row").alias("r2"), F.col("start").alias("s2"), F.col("end").alias("e2"),
             F.explode(F.sequence(F.expr(f"greatest(start - {SCOPE}, 0) div {SCOPE}"), F.expr(f"(end + {SCOPE}) div {SCOPE}"))).alias("b2"))
-        return left.join(near, (F.col("__row") == F.col("r2")) & F.col("__key").eqNullSafe(F.col("k2")) & (F.col("bin") == F.col("b2"))
-                         & (F.col("start") >= F.col("s2") - SCOPE) & (F.col("start") <= F.col("e2") + SCOPE), "left_semi")
+        covered = left.withColumn("bin", F.explode(F.sequence(F.expr(f"start div {SCOPE}"), F.expr(f"end div {SCOPE}"))))
+        return covered.join(near, (F.col("__row") == F.col("r2")) & F.col("__key").eqNullSafe(F.col("k2")) & (F.col("bin") == F.col("b2"))
+                         & (F.col("end") >= F.col("s2") - SCOPE) & (F.col("start") <= F.col("e2") + SCOPE), "left_semi").drop("bin").distinct()
 
     identifiers, secrets = ("access", "ident"), ("assign", "hex", "weak")
     kind = lambda k: flat.where(F.col("kind") == k)
