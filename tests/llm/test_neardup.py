@@ -100,6 +100,15 @@ def test_every_pair_of_blocks_has_one_unit(spark, n_blocks):
     assert pairs == sorted([(b,) for b in range(n_blocks)] + [(a, b) for b in range(n_blocks) for a in range(b)])
 
 
+def test_oversized_units_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    near = [" ".join([f"a{i}" for i in range(60)] + [f"z{j}"]) for j in range(2)]
+    fill = [" ".join(f"b{k}x{i}" for i in range(20)) for k in range(40)]
+    rows = [(1, 0, t) for t in [near[0], *fill, near[1]]]
+    texts = spark.createDataFrame(rows, "unit long, side int, t string").selectExpr("*", "side AS sub").coalesce(1)
+    assert neardup.verified_links(texts, 3, 85).count() == 1
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i % 977}" for i in range(30_000))
     rows = [(1, None, "a"), (2, "", "a"), (3, " \t\n", "a"), (4, "One two", "a"), (5, "one  TWO", "a"), (6, "one two three", "a"), (7, long, "a"), (8, long, "b"),
