@@ -197,6 +197,23 @@ def test_recall_and_precision_against_brute_force(spark):
     assert np.mean([got[k].edits == want[k] for k in got]) > 0.95 and all(got[k].edits >= want[k] for k in got)
 
 
+@pytest.mark.parametrize("insert", [False, True])
+@pytest.mark.parametrize("n", [40, 59, 100, 150, 300])
+def test_long_items_with_one_sided_edits_are_all_found(n, insert):
+    rng = random.Random(n)
+    items = [(i, [f"i{i}w{j}" for j in range(n)]) for i in range(12)]
+    memo, texts = WordHashes(), []
+    for _, own in items:
+        w = list(own)
+        for _ in range(D.allowed(n)):
+            at = rng.randrange(len(w))
+            w[at:at + (not insert)] = ["new"] * insert
+        texts.append(D.word_hashes(" ".join(["before"] * 30 + w + ["after"] * 30), memo))
+    index = D.Index([(i, " ".join(w)) for i, w in items])
+    want = {(i, i) for i in range(12) if distance(index.items[i][1].tolist(), texts[i].tolist()) <= D.allowed(n)}
+    assert len(want) == 12 and {(d, item) for d, item, *_ in index.matches(texts)} == want
+
+
 def test_edge_cases_of_decontamination(spark):
     item = " ".join(words(random.Random(1), 40))
     rows = [(1, None), (2, ""), (3, item), (3, item), (4, "x " * 40_000 + item + " y" * 10), (5, item.upper().replace(" ", " -- ")), (None, item), (6, item[:60]), (7, "clean text")]

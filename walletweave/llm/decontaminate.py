@@ -3,10 +3,11 @@
 Texts are sequences of lower-cased words. The CGK random walk maps a sequence to a longer one
 such that few word edits give few differing positions. Items and item-sized document windows
 are embedded with the same ``WALKS`` random walks; ``TABLES`` hash tables a walk sample ``BITS``
-positions each. With half of the positions alike, the worst case that the edit bound leaves, a
-table finds a window with probability 1/4, and all tables miss it with (3/4)**(WALKS*TABLES),
-about 1e-4: the target recall is ``TARGET_RECALL``. Window-item pairs that share a bucket are
-verified by exact edit distance of the item to its best-fitting passage.
+positions each. Window-item pairs that share a bucket are verified by exact edit distance of the
+item to its best-fitting passage. The tables of a walk fail together, and dropped or inserted words
+drive the walks further apart the longer the item is, so the tables serve items of fewer than
+``LONG`` words only, where they reach ``TARGET_RECALL``; every longer item is verified wherever
+the document shares enough of its word runs, which misses nothing.
 
 Windows are admitted where they can match at all. An item of n words and a passage at most k edits
 from it share at least n - q + 1 - k q places of equal runs of q words (and one run where that is
@@ -36,6 +37,8 @@ from .shingles import M1, WordHashes, mix, rolling
 WORD = re.compile(r"\w+")
 WALKS, TABLES, BITS = 8, 4, 2
 TARGET_RECALL = 0.99
+#: Items of so many words are verified without the tables.
+LONG = 40
 BLOCK_ITEMS = 20_000
 #: Word edits allowed, as a share of the item's words.
 MAX_EDITS = 0.2
@@ -118,10 +121,12 @@ class Index:
         self.items = [(i, h) for i, t in items if len(h := word_hashes(t, memo))]
         by_size: dict[int, list[int]] = defaultdict(list)
         runs: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+        # A run leads to a size of tabled items, as -n, or to a long item, as its number.
         for k, (_, h) in enumerate(self.items):
-            by_size[len(h)].append(k)
+            if len(h) < LONG:
+                by_size[len(h)].append(k)
             for key in rolling(h, run_length(len(h))).tolist():
-                runs[run_length(len(h))][key].add(len(h))
+                runs[run_length(len(h))][key].add(-len(h) if len(h) < LONG else k)
         self.tables: dict[int, dict[int, list[int]]] = {}
         for n, who in by_size.items():
             seq, bounds = _flat([self.items[k][1] for k in who])
@@ -132,17 +137,18 @@ class Index:
         self.runs = {q: (np.array(sorted(x), dtype=np.uint64), x) for q, x in runs.items()}
 
     def admitted(self, h: np.ndarray) -> Iterator[tuple[int, list[int]]]:
-        """(n, starts) of the windows of the text that can match an item of n words."""
+        """(-n, starts) of the windows that can match an item of n words; (k, starts) of those that can match long item k."""
         spans: dict[int, list[int]] = defaultdict(list)
-        for q, (keys, sizes) in self.runs.items():
+        for q, (keys, targets) in self.runs.items():
             if len(h) < q:
                 continue
             r = rolling(h, q)
             hit = keys[np.minimum(np.searchsorted(keys, r), len(keys) - 1)] == r
             for p in np.flatnonzero(hit).tolist():
-                for n in sizes[int(r[p])]:
-                    spans[n].append(p)
-        for n, hits in spans.items():
+                for target in targets[int(r[p])]:
+                    spans[target].append(p)
+        for target, hits in spans.items():
+            n = -target if target < 0 else len(self.items[target][1])
             k, q, least, top = allowed(n), run_length(n), shared_runs(n), max(0, len(h) - n)
             if len(h) < n - k:
                 continue
@@ -151,17 +157,20 @@ class Index:
                 if last - first <= n + k - q:
                     starts.update(range(min(top, max(0, last + q - n - k)), min(top, first) + 1))
             if starts:
-                yield n, sorted(starts)
+                yield target, sorted(starts)
 
     def matches(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text number, item number, edits, start, end): the best passage of every item found."""
         seq, bounds = _flat(texts)
         windows: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        found: dict[tuple[int, int], set[int]] = defaultdict(set)
         for d, h in enumerate(texts):
             if len(h):
-                for n, starts in self.admitted(h):
-                    windows[n] += [(d, s) for s in starts]
-        found: dict[tuple[int, int], set[int]] = defaultdict(set)
+                for target, starts in self.admitted(h):
+                    if target < 0:
+                        windows[-target] += [(d, s) for s in starts]
+                    else:
+                        found[d, target].update(starts)
         for n, rows in windows.items():
             table = self.tables[n]
             for j in range(0, len(rows), 8192):
