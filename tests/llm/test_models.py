@@ -134,6 +134,14 @@ def test_scan_of_flat_files(spark, monkeypatch, tmp_path, ids):
     assert got == list(enumerate(want))
 
 
+def test_a_small_real_language_does_not_keep_the_spurious_ones():
+    rng = random.Random(3)
+    prose = ["".join(rng.choice(letters) for _ in range(20_000)) for letters in ("abcd ", "klmn ", "pqrs ", "wxyz ")]
+    table = np.stack([np.bincount(language.trigrams(t), minlength=language.BUCKETS) for t in prose], axis=1) + 0.5
+    who, shares = language.mixture(prose[0][:6000] + prose[1][:90], np.log(table / table.sum(axis=0)).astype(np.float32))
+    assert who.tolist() == [0, 1] and 0.005 < shares[1] < 0.02
+
+
 # Decontamination -----------------------------------------------------------------------------------
 
 

@@ -2,8 +2,9 @@
 
 Learning counts byte trigrams of all labelled training texts per language. For a document,
 expectation-maximisation estimates the proportions of the languages from its trigrams'
-likelihoods; the language set is chosen by penalised likelihood: languages are dropped, least
-share first, while the Bayesian information criterion improves.
+likelihoods; the language set is chosen by penalised likelihood: languages are dropped while the
+Bayesian information criterion improves, all of small share at once or, where that is refused,
+one at a time, least share first.
 
 Defined cases: null text or text without a letter is ``und`` with score 0 and no languages; so is
 every text if nothing was learned; texts under three bytes are padded; a null id is not held out;
@@ -13,6 +14,7 @@ an empty result.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -97,8 +99,12 @@ def mixture(text: str, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rest[np.argmin(pi)] = False
         if not rest.any():
             rest[np.argmax(pi)] = True
-        now, less = _em(like[:, rest], n, pi[rest] / pi[rest].sum())
-        if less + penalty * (len(live) - rest.sum()) < fit:
+        singles = (np.arange(len(live)) != i for i in np.argsort(pi, kind="stable"))
+        for rest in itertools.chain([rest], singles):
+            now, less = _em(like[:, rest], n, pi[rest] / pi[rest].sum())
+            if less + penalty * (len(live) - rest.sum()) >= fit:
+                break
+        else:
             break
         live, like, pi, fit = live[rest], like[:, rest], now, less
     order = np.lexsort((live, -pi))
