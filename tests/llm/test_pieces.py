@@ -1,5 +1,7 @@
 import itertools
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -89,3 +91,48 @@ def test_inclusion_scores_are_probabilities(vocabulary):
         weights = [math.exp(logp) / -math.expm1(-math.exp(logp - threshold)) for _, logp, _ in found] if threshold > -math.inf else [math.exp(x[1]) for x in found]
         sums.append(sum(weights))  # inverse inclusion weighting estimates the total mass, 1
     assert abs(np.mean(sums) - 1) < 0.05
+
+
+def test_chunks_cover_the_text_and_lose_no_piece(vocabulary):
+    """Chunks end where the rule says, by a plain pattern, and no piece reaches over an end."""
+    lat = P.Lattice(vocabulary)
+    marks = re.escape("".join(chr(i) for i in range(P.ASIDE) if lat.cut[i]))
+    rule = re.compile(f"\n|{P.BLANK}*{P.LATIN}+(?=[{marks}])|{P.BLANK}+[^{P.BLANK}\n]*|[^{P.BLANK}\n]+")
+    rng = random.Random(3)
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice("ab \n.,'-1é日▁#") for _ in range(rng.randrange(60))) for _ in range(400)]
+    cp, starts, before = lat.chunks(texts)
+    whole = "".join(map(chr, cp.tolist()))
+    parts = [whole[a:b] for a, b in zip(starts.tolist(), [*starts.tolist()[1:], len(whole)], strict=True)]
+    for i, t in enumerate(texts):
+        norm = P.BLANK + t.replace(P.BLANK, P.MARK).replace(" ", P.BLANK) if t else ""
+        assert parts[before[i]:before[i + 1]] == rule.findall(norm), repr(t)
+    ends = re.compile(f"(?<={P.LATIN})[{marks}]|(?<=[^{P.BLANK}]){P.BLANK}|\n")
+    assert not [t for t, _ in vocabulary["pieces"] if ends.search(t)]
+
+
+def test_slices_without_a_chunk(spark, vocabulary):
+    lat = P.Lattice(vocabulary)
+    assert [x for x, _ in P.encode_slice(lat, [1, 2], ["", ""], 2)] and list(P.encode_slice(lat, [], [], 2)) == []
+    df = spark.createDataFrame([(1, None), (2, ""), (2**60 + 1, "")], "doc_id long, text string").coalesce(1)
+    rows = P.sample_encode(df).collect()
+    assert sorted((r.doc_id, r.n_pieces, r.log_prob, r.round_trip) for r in rows) == [(1, 0, 0, True), (2, 0, 0, True), (2**60 + 1, 0, 0, True)]
+
+
+def test_known_chunks_are_forgotten_when_full_without_a_trace(vocabulary, monkeypatch):
+    monkeypatch.setattr(P, "PLACES", 64)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcde") for _ in range(rng.randrange(1, 9))) for _ in range(12)) for _ in range(30)] + ["z" * 500]
+    small, out = P.Lattice(vocabulary), []
+    for i, t in enumerate(texts):
+        out += [(x.tolist(), p, g) for x, p, g in next(P.encode_slice(small, [i], [t], 3))[0]]
+    monkeypatch.undo()
+    whole = [(x.tolist(), p, g) for found, _ in P.encode_slice(P.Lattice(vocabulary), list(range(len(texts))), texts, 3) for x, p, g in found]
+    assert out == whole
+
+
+def test_round_trip_is_checked(vocabulary):
+    lat, decode = P.Lattice(vocabulary), P.Decoder(vocabulary)
+    ids = [found[0][0] for found, _ in P.encode_slice(lat, [0, 1, 2], ["one two", "", "é▁"], 1)]
+    assert decode.gives(ids, ["one two", "", "é▁"]) == [True] * 3
+    assert decode.gives(ids, ["one tw", "", "é▁"]) == [False, True, True]
+    assert decode.gives(ids, ["one twoé", "", "▁"]) == [False, True, False] and decode.gives([], []) == []

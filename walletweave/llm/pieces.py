@@ -14,8 +14,9 @@ The vocabulary file is read on the driver (a parameter) and broadcast; its size
 file has ranks, not probabilities; the weight of the piece of rank r is 1 / (r + RANK_SHIFT), a
 fixed rule, and nothing is trained. Characters without a piece fall back to UTF-8 bytes. No piece
 holds a blank after another character, so the lattice parts at blanks, line breaks and, where the
-vocabulary allows, before marks that follow a letter; all distinct chunks of a slice of documents
-are solved together in NumPy. Memory is bounded by the slice, or by the longest text.
+vocabulary allows, before marks that follow a letter; the distinct chunks of a slice of documents
+are solved together in NumPy and kept for the next slices up to a fixed number of places. Memory
+is bounded by that, by the slice, or by the longest text.
 
 Defined cases: null and empty text have one segmentation, the empty one (log probability 0,
 inclusion 0 on the log scale); a text with fewer than k segmentations gives them all; the blank
@@ -46,9 +47,13 @@ BLANK = "▁"
 LATIN = "[A-Za-z\u00c0-\u024f]"
 RANK_SHIFT = 10
 BYTE_SCORE = -12.0
-SIEVE = np.uint64(48)
-#: Characters of text solved together.
+SIEVE, WIDE_SIEVE = np.uint64(48), np.uint64(46)
+ASIDE = 0x250  # code points from here are neither Latin letters nor marks
+INVERSE = np.uint64(pow(int(M1), -1, 1 << 64))
+#: Characters of text worked on together.
 SLICE = 1_500_000
+#: Lattice places kept from slice to slice, about 200 bytes each.
+PLACES = 1_200_000
 WIDE = 1 << 24  # ids from here stand for a character encoded as several bytes
 MARK = "\ud800"  # stands for a literal blank mark while chunking; no valid text holds it
 
@@ -75,19 +80,22 @@ def times(n: int, m: np.uint64) -> np.uint64:
 
 
 class Lattice:
-    """Vocabulary tables and the lattices of a set of distinct chunks."""
+    """Vocabulary tables and the lattices of distinct chunks, kept from slice to slice."""
 
     def __init__(self, vocabulary: dict):
         self.byte_ids, self.text = np.array(vocabulary["bytes"]), vocabulary["text"]
         # The lattice parts before a mark that no piece has after a Latin letter.
         after = re.compile(LATIN + "([!-/:-@^_`{-~])")
         joined = {m[1] for t, _ in vocabulary["pieces"] for m in after.finditer(t)}
-        cuts = re.escape("".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in joined))
-        self.chunk = re.compile(f"\n|{BLANK}*{LATIN}+(?=[{cuts}{BLANK}\n]|\\Z)|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
-        self.tables = {}
+        points = list(map(chr, range(ASIDE + 1)))
+        self.latin = np.array([bool(re.match(LATIN, c)) for c in points])
+        self.cut = np.array([32 < i < 127 and not c.isalnum() and c not in joined for i, c in enumerate(points)])
+        self.tables, heads = {}, {}
         by_length: dict[int, list] = {}
         for t, i in vocabulary["pieces"]:
             by_length.setdefault(len(t), []).append((self._hash(_points(t)), i))
+            for n in range(1, len(t)):
+                heads.setdefault(n, set()).add(t[:n])
         for n, rows in by_length.items():
             rows.sort()
             keys = np.array([k for k, _ in rows], dtype=np.uint64)
@@ -95,7 +103,14 @@ class Lattice:
             sieve = np.zeros(1 << 16, dtype=bool)
             sieve[((keys * M2) >> SIEVE).view(np.int64)] = True
             self.tables[n] = (keys, ids, -np.log(ids + float(RANK_SHIFT)), sieve)
+        self.heads = {}  # by length, a sieve of what longer pieces begin with
+        for n, begins in heads.items():
+            keys = np.array([self._hash(_points(t)) for t in begins], dtype=np.uint64)
+            self.heads[n] = np.zeros(1 << 18, dtype=bool)
+            self.heads[n][((keys * M2) >> WIDE_SIEVE).view(np.int64)] = True
         self.longest = max(self.tables)
+        self.first, self.powers = np.empty(0, dtype=bool), np.empty(0, dtype=np.uint64)
+        self.reset(PLACES)
 
     @staticmethod
     def _hash(points: np.ndarray) -> int:
@@ -104,27 +119,103 @@ class Lattice:
             h = h * M1 + np.uint64(p + 1)
         return int(h[0])
 
-    def solve(self, chunks: list[str]) -> None:
-        """Edges, backward sums and cumulative choice probabilities at each place of the chunks."""
-        sizes = np.array([len(c) for c in chunks])
-        width = self.longest
-        self.start = start = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]  # one end place each
-        self.end = end = start + sizes
-        self.first = np.zeros(int(sizes.sum() + len(sizes)), dtype=bool)
-        self.first[start] = True
+    def reset(self, room: int = 0) -> None:
+        """Forget all chunks; make room for ``room`` places at least."""
+        self.keys, self.numbers, self.used = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), 0
+        self.start = self.end = np.empty(0, dtype=np.int64)
+        if room > len(self.first):
+            self.ids = np.empty((room, self.longest), dtype=np.int32)
+            self.logq = np.empty((room, self.longest), dtype=np.float32)
+            self.upto = np.empty((room, self.longest), dtype=np.float32)
+            self.first, self.single = np.empty(room, dtype=bool), np.empty(room, dtype=bool)
+
+    def chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(code points end to end, where each chunk starts, number of chunks before each text).
+
+        A text is taken with a blank before it. A chunk starts at a line break, after one, at a
+        run of blanks, and at a mark after the letters that begin a chunk.
+        """
+        cp = _points("".join([f" {t}" for t in texts if t])).copy()
+        bounds = np.concatenate([[0], np.cumsum([len(t) + 1 if t else 0 for t in texts])]).astype(np.int64)
+        cp[cp == ord(BLANK)] = ord(MARK)
+        blank, line = cp == 32, cp == 10
+        cp[blank] = ord(BLANK)
+        start = np.zeros(len(cp) + 1, dtype=bool)
+        start[:-1] = line | blank
+        start[1:] |= line
+        start[1:-1] &= ~(blank[1:] & blank[:-1])
+        start[bounds] = True
+        start = start[:-1]
+        small = np.minimum(cp, ASIDE)
+        latin = self.latin[small]
+        marks = np.flatnonzero(self.cut[small[1:]] & latin[:-1]) + 1 if len(cp) else np.empty(0, dtype=np.int64)
+        head = latin.copy()
+        head[1:] &= ~latin[:-1]
+        runs = np.flatnonzero(head)
+        run = runs[np.searchsorted(runs, marks, side="right") - 1] if len(marks) else marks
+        start[marks[start[run] | blank[run - 1]]] = True
+        starts = np.flatnonzero(start)
+        return cp, starts, np.searchsorted(starts, bounds)
+
+    def admit(self, cp: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Number of the chunk at each start; chunks not yet known are solved.
+
+        Chunks are told apart by a 64-bit hash. Solved ones stay for later slices while there is
+        room for ``PLACES`` places, or for one slice.
+        """
+        n = len(cp)
+        if n >= len(self.powers):
+            self.powers, self.inverse = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(2 * n, x)])) for x in (M1, INVERSE))
+        sizes = np.diff(starts, append=n)
+        value = (cp + np.uint64(1)) * M2
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((value ^ (value >> np.uint64(29))) * self.powers[:n])])
+        key = mix((sums[starts + sizes] - sums[starts]) * self.inverse[starts] ^ (sizes.astype(np.uint64) * M3))
+        keys, spot, which = np.unique(key, return_index=True, return_inverse=True)
+        while True:
+            at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+            known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), dtype=bool)
+            fresh = np.flatnonzero(~known)
+            size = sizes[spot[fresh]]
+            need = int(size.sum() + len(size))
+            if self.used + need <= len(self.first):
+                break
+            self.reset(max(PLACES, need))
+        number = np.empty(len(keys), dtype=np.int64)
+        number[known] = self.numbers[at[known]]
+        if len(fresh):
+            number[fresh] = len(self.keys) + np.arange(len(fresh))
+            inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            self.solve(cp[np.repeat(starts[spot[fresh]], size) + inside], size)
+            order = np.argsort(np.concatenate([self.keys, keys[fresh]]), kind="stable")
+            self.keys = np.concatenate([self.keys, keys[fresh]])[order]
+            self.numbers = np.concatenate([self.numbers, number[fresh]])[order]
+        return number[which]
+
+    def solve(self, points: np.ndarray, sizes: np.ndarray) -> None:
+        """Edges and choice probabilities at each place of chunks laid after those known."""
+        base, width = self.used, self.longest
+        start = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]  # one end place each
+        end = start + sizes
         n = int(sizes.sum() + len(sizes))
+        self.used += n
+        self.start, self.end = np.concatenate([self.start, start + base]), np.concatenate([self.end, end + base])
+        first = self.first[base:base + n]
+        first[:] = False
+        first[start] = True
         cp = np.zeros(n + width, dtype=np.uint64)
         inner = np.ones(n, dtype=bool)
         inner[end] = False
         places = np.flatnonzero(inner)
-        cp[places] = _points("".join(chunks))
+        cp[places] = points
         rest = np.zeros(n, dtype=np.int64)
         rest[places] = np.repeat(end, sizes) - places
-        found = []
+        score = np.full((n, width), -np.inf, dtype=np.float32)
+        ids, logq, upto = self.ids[base:base + n], self.logq[base:base + n], self.upto[base:base + n]
+        logq[:], upto[:] = -np.inf, 2.0
         h, at = np.zeros(len(places), dtype=np.uint64), places
         for m in range(1, width + 1):
             if m > 1:
-                live = rest[at] >= m
+                live = np.flatnonzero((rest[at] >= m) & self.heads[m - 1][((h * M2) >> WIDE_SIEVE).view(np.int64)])
                 at, h = at[live], h[live]
             if not len(at):
                 break
@@ -135,36 +226,29 @@ class Lattice:
             maybe = np.flatnonzero(sieve[((h * M2) >> SIEVE).view(np.int64)])
             key = h[maybe]
             k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = keys[k] == key
-            if hit.any():
-                found.append((m, at[maybe[hit]], own[k[hit]], weight[k[hit]]))
-        width = max((m for m, *_ in found), default=1)  # the longest piece that occurs
-        score = np.full((n, width), -np.inf, dtype=np.float32)
-        ids = np.zeros((n, width), dtype=np.int32)
-        for m, where, own, weight in found:
-            score[where, m - 1], ids[where, m - 1] = weight, own
+            hit = np.flatnonzero(keys[k] == key)
+            where, k = at[maybe[hit]], k[hit]
+            score[where, m - 1], ids[where, m - 1] = weight[k], own[k]
         bare = places[np.isneginf(score[places, 0])]
         point = cp[bare].astype(np.int64)
         point[point == ord(MARK)] = ord(BLANK)
         score[bare, 0] = BYTE_SCORE * (1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF))
         ids[bare, 0] = np.where(point < 0x80, self.byte_ids[np.minimum(point, 0x7F)], WIDE + point)
-        beta = np.zeros(n + width)
+        beta = np.zeros(n + width)  # log mass of the segmentations from a place to its chunk's end
         order = places[np.argsort(rest[places], kind="stable")]
-        bound = np.searchsorted(rest[order], np.arange(1, (int(sizes.max()) if len(sizes) else 0) + 2))
+        bound = np.searchsorted(rest[order], np.arange(1, int(sizes.max()) + 2))
         span = np.arange(1, width + 1)
         for d in range(len(bound) - 1):
             p = order[bound[d]:bound[d + 1]]
             w = min(width, d + 1)
             x = score[p, :w] + beta[p[:, None] + span[:w]]
             top = x.max(axis=1)
-            beta[p] = top + np.log(np.exp(x - top[:, None]).sum(axis=1))
-        logq = np.full((n, width), -np.inf, dtype=np.float32)
-        for m in range(1, width + 1):
-            ok = places[rest[places] >= m]
-            logq[ok, m - 1] = score[ok, m - 1] + (beta[ok + m] - beta[ok])
-        self.ids, self.logq = ids, logq
-        self.upto = np.cumsum(np.exp(logq), axis=1)
-        self.last = width - 1 - np.argmax(logq[:, ::-1] > -np.inf, axis=1)  # guards the sums' rounding
+            sums = np.cumsum(np.exp(x - top[:, None]), axis=1)
+            total = sums[:, -1:]
+            beta[p] = mass = top + np.log(total[:, 0])
+            logq[p, :w] = x - mass[:, None]
+            upto[p, :w] = np.where(sums >= total, 2.0, sums / total)  # the last piece takes the rounding
+        self.single[base:base + n] = (logq > -np.inf).sum(axis=1) < 2
 
     def draw(self, which: np.ndarray, seed: np.ndarray, stream: int):
         """An ancestral sample of each chunk occurrence: (offsets, places, lengths)."""
@@ -174,8 +258,8 @@ class Lattice:
         base = seed + times(stream + 1, M2)
         while len(live):
             p = at[live]
-            u = (mix(base[live] + times(step, M3)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            m = np.minimum((self.upto[p] <= u[:, None]).sum(axis=1), self.last[p])
+            u = (mix(base[live] + times(step, M3)) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+            m = (self.upto[p] <= u[:, None]).sum(axis=1)
             taken.append((live, p, m))
             count[live] += 1
             at[live] = p + m + 1
@@ -209,86 +293,75 @@ class Noise:
         return mass - (x if x > 700 else math.log(math.exp(x) + e))
 
 
-def _rest_mass(before: float, tail: float) -> float:
-    """log(exp(before) - exp(before + tail)): a subtree without one of its leaves."""
-    return -math.inf if tail > -1e-12 else before + math.log(-math.expm1(tail))
-
-
 def top_k(lat: Lattice, k: int, seed: int, stream) -> list[tuple]:
     """([(perturbed, log_prob, places, lengths)] of the k best leaves, threshold).
 
     stream(s) gives (chunk offsets, places, lengths) of the s-th independent sample of the text.
+    A frontier node holds the leaves that leave a path at ``depth`` or later, less the branches
+    taken out already (``gone``); ``mass`` has the mass of its branches by place of leaving.
     """
-    noise, heap, out, count = Noise(seed), [], [], 0
+    noise, heap, out, count = Noise(seed), [], [], itertools.count()
 
-    def push(g, item):
-        nonlocal count
-        if g > -math.inf:
-            count += 1
-            heapq.heappush(heap, (-g, count, item))
+    def push(g, path, depth, mass, gone):
+        total = float(mass.sum())
+        if total > 0:
+            g = noise.below(float(path[2][depth]) + math.log(total), g)
+            heapq.heappush(heap, (-g, next(count), path, depth, mass, gone))
 
     def leaf(g, places, lengths, depth):
         logq = lat.logq[places, lengths].astype(np.float64)
         before = np.concatenate([[0.0], np.cumsum(logq)])
-        path = (places, lengths, before)
         out.append((g, float(before[-1]), places, lengths))
-        mass = _rest_mass(before[depth], before[-1] - before[depth])
-        push(noise.below(mass, g) if mass > -math.inf else -math.inf, (path, depth, None))
+        if depth < len(places):
+            mass = np.exp(before[depth:-1] - before[depth]) * -np.expm1(np.minimum(logq[depth:], 0.0))
+            mass[lat.single[places[depth:]]] = 0.0
+            push(g, (places, lengths, before), depth, mass, {})
 
-    g = -math.log(-math.log(noise.uniform()))
     offsets, places, lengths = stream(0)
-    leaf(g, places, lengths, 0)
+    leaf(-math.log(-math.log(noise.uniform())), places, lengths, 0)
     while heap and len(out) < k:
-        neg, _, (path, depth, choice) = heapq.heappop(heap)
+        neg, _, path, depth, mass, gone = heapq.heappop(heap)
         g, (places, lengths, before) = -neg, path
-        if choice is None:  # all leaves below this prefix but the path's own: part by the next piece
-            p, own = int(places[depth]), int(lengths[depth])
-            parts = [(float(before[depth] + q), (path, depth, m))
-                     for m, q in enumerate(lat.logq[p].tolist()) if q > -math.inf and m != own]
-            deeper = _rest_mass(before[depth + 1], before[-1] - before[depth + 1])
-            if deeper > -math.inf and depth + 1 < len(places):
-                parts.append((float(deeper), (path, depth + 1, None)))
-            if not parts:
-                continue
-            top = max(x for x, _ in parts)
-            u = noise.uniform() * sum(math.exp(x - top) for x, _ in parts)
-            best = 0
-            for best, (x, _) in enumerate(parts):
-                u -= math.exp(x - top)
-                if u < 0:
-                    break
-            for i, (x, item) in enumerate(parts):
-                push(g if i == best else noise.below(x, g), item)
-        else:  # the best leaf below a prefix: finish its chunk, then an independent sample
-            p = int(places[depth])
-            chunk = int(np.searchsorted(lat.start, p, side="right")) - 1
-            # occurrences are counted on the path itself: a chunk starts at its start place
-            t = int(np.count_nonzero(lat.first[places[:depth + 1]]))
-            new_p, new_m, at = [p], [choice], p + choice + 1
-            while at < lat.end[chunk]:
-                m = min(int((lat.upto[at] <= noise.uniform()).sum()), int(lat.last[at]))
-                new_p.append(at)
-                new_m.append(m)
-                at += m + 1
-            offsets, sp, sm = stream(len(out))
-            leaf(g, np.concatenate([places[:depth], new_p, sp[offsets[t]:]]),
-                 np.concatenate([lengths[:depth], new_m, sm[offsets[t]:]]), depth + 1)
+        sums = np.cumsum(mass)
+        j = min(int(np.searchsorted(sums, noise.uniform() * sums[-1], side="right")), int(np.flatnonzero(mass)[-1]))
+        at = depth + j
+        p = int(places[at])
+        taken = {int(lengths[at]), *gone.get(at, ())}
+        open_ = [(m, math.exp(q)) for m, q in enumerate(lat.logq[p].tolist()) if q > -math.inf and m not in taken]
+        u = noise.uniform() * sum(x for _, x in open_)
+        for choice, x in open_:
+            u -= x
+            if u < 0:
+                break
+        mass = mass.copy()
+        mass[j] = math.exp(before[at] - before[depth]) * sum(x for m, x in open_ if m != choice)
+        push(g, path, depth, mass, gone | {at: (*gone.get(at, ()), choice)})
+        # The new leaf: the branch, the rest of its chunk, then an independent sample.
+        chunk = int(np.searchsorted(lat.start, p, side="right")) - 1
+        # occurrences are counted on the path itself: a chunk starts at its start place
+        t = int(np.count_nonzero(lat.first[places[:at + 1]]))
+        new_p, new_m, here = [p], [choice], p + choice + 1
+        while here < lat.end[chunk]:
+            m = int((lat.upto[here] <= noise.uniform()).sum())
+            new_p.append(here)
+            new_m.append(m)
+            here += m + 1
+        offsets, sp, sm = stream(len(out))
+        leaf(g, np.concatenate([places[:at], new_p, sp[offsets[t]:]]),
+             np.concatenate([lengths[:at], new_m, sm[offsets[t]:]]), at + 1)
     return out, (-heap[0][0] if heap else -math.inf)
 
 
 def encode_slice(lat: Lattice, keys: list, texts: list[str], k: int):
     """For each text: ([(ids, log_prob, perturbed)], threshold)."""
-    chunks = [lat.chunk.findall(BLANK + t.replace(BLANK, MARK).replace(" ", BLANK)) if t else [] for t in texts]
-    known = {c: i for i, c in enumerate(dict.fromkeys(itertools.chain.from_iterable(chunks)))}
-    lat.solve(list(known))
-    ends = [0, *itertools.accumulate(map(len, chunks))]
-    which = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(chunks)), dtype=np.int64, count=ends[-1])
+    cp, starts, ends = lat.chunks(texts)
+    which = lat.admit(cp, starts)
     seeds = np.array([xxhash.xxh3_64_intdigest(repr(x)) for x in keys], dtype=np.uint64)
     n = np.diff(ends)
-    spot = np.arange(len(which)) - np.repeat(np.array(ends[:-1]), n)
+    spot = np.arange(len(which)) - np.repeat(ends[:-1], n)
     seed = mix(np.repeat(seeds, n) + spot.astype(np.uint64) * M1)
     drawn = [lat.draw(which, seed, s) for s in range(k)]
-    for i, t in enumerate(texts):
+    for i in range(len(texts)):
         lo, hi = ends[i], ends[i + 1]
         if lo == hi:
             yield [(np.empty(0, dtype=np.int64), 0.0, 0.0)], -math.inf
@@ -320,11 +393,28 @@ class Decoder:
     def __init__(self, vocabulary: dict):
         byte_of = {i: bytes([b]) for b, i in enumerate(vocabulary["bytes"])}
         self.raw = [byte_of.get(i) or (t or "").replace(BLANK, " ").encode() for i, t in enumerate(vocabulary["text"])]
+        self.flat = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
+        self.size = np.array([len(r) for r in self.raw])
+        self.at = np.cumsum(self.size) - self.size
 
     def __call__(self, ids) -> str:
         raw = b"".join(itemgetter(*ids)(self.raw)) if len(ids) > 1 else b"".join(self.raw[i] for i in ids)
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
+    def gives(self, ids: list[np.ndarray], texts: list[str]) -> list[bool]:
+        """Whether each id sequence decodes to its text: all decoded together, one by one where any differs."""
+        if not ids:
+            return []
+        flat = np.concatenate(ids)
+        n = self.size[flat]
+        ends = np.cumsum(n)
+        raw = self.flat[np.arange(int(n.sum())) + np.repeat(self.at[flat] - (ends - n), n)]
+        want = [f" {t}".encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        sizes = np.diff(np.concatenate([[0], ends])[np.cumsum([len(x) for x in ids])], prepend=0)
+        if sizes.tolist() == list(map(len, want)) and raw.tobytes() == b"".join(want):
+            return [True] * len(texts)
+        return [self(x.tolist()) == t for x, t in zip(ids, texts, strict=True)]
+
 
 def sample_encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 2, model: str = MODEL,
                   with_ids: bool = True) -> DataFrame:
@@ -349,11 +439,11 @@ def sample_encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
                 for i, (found, threshold) in enumerate(encode_slice(lat, keys[lo:hi].to_pylist(), part, k)):
                     for s, (x, logp, g) in enumerate(found):
                         cut = math.exp(min(700.0, logp - threshold)) if threshold > -math.inf else math.inf
-                        one = x.tolist()
                         take.append(lo + i)
                         ids.append(x)
-                        cols.append((s, len(x), logp, g, math.log(-math.expm1(-cut)) if cut > 1e-300 else logp - threshold,
-                                     decode(one) == part[i]))
+                        cols.append((s, len(x), logp, g, math.log(-math.expm1(-cut)) if cut > 1e-300 else logp - threshold))
+                same = decode.gives(ids, [part[i - lo] for i in take])
+                cols = [(*c, x) for c, x in zip(cols, same, strict=True)]
                 out = [keys.take(pa.array(take, pa.int64())), *[
                     pa.array([c[j] for c in cols], t) for j, t in enumerate(
                         (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()))]]
