@@ -51,9 +51,9 @@ SIEVE, WIDE_SIEVE = np.uint64(48), np.uint64(46)
 ASIDE = 0x250  # code points from here are neither Latin letters nor marks
 INVERSE = np.uint64(pow(int(M1), -1, 1 << 64))
 #: Characters of text worked on together.
-SLICE = 1_500_000
-#: Lattice places kept from slice to slice, about 200 bytes each.
-PLACES = 1_200_000
+SLICE = 200_000
+#: Lattice places kept from slice to slice, about 140 bytes each.
+PLACES = 1_600_000
 WIDE = 1 << 24  # ids from here stand for a character encoded as several bytes
 MARK = "\ud800"  # stands for a literal blank mark while chunking; no valid text holds it
 
@@ -68,7 +68,7 @@ def read_vocabulary(path: str = MODEL) -> dict:
     text = [None if s else sp.id_to_piece(i) for i, s in enumerate(special)]
     whole = re.compile(f"{BLANK}*[^{BLANK}\n]*")
     return {"text": text, "bytes": [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)],
-            "pieces": [(t, i) for i, t in enumerate(text) if t and whole.fullmatch(t)]}
+            "pieces": [(t, i) for i, t in enumerate(text) if t and whole.fullmatch(t)], "size": n}
 
 
 def _points(text: str) -> np.ndarray:
@@ -79,11 +79,17 @@ def times(n: int, m: np.uint64) -> np.uint64:
     return np.uint64(n * int(m) & 0xFFFFFFFFFFFFFFFF)
 
 
+def _byte_score(point: np.ndarray) -> np.ndarray:
+    return BYTE_SCORE * (1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF))
+
+
 class Lattice:
     """Vocabulary tables and the lattices of distinct chunks, kept from slice to slice."""
 
     def __init__(self, vocabulary: dict):
-        self.byte_ids, self.text = np.array(vocabulary["bytes"]), vocabulary["text"]
+        self.byte_ids = np.array(vocabulary["bytes"])
+        self.weight = -np.log(np.arange(vocabulary["size"]) + float(RANK_SHIFT))
+        self.weight[self.byte_ids] = BYTE_SCORE
         # The lattice parts before a mark that no piece has after a Latin letter.
         after = re.compile(LATIN + "([!-/:-@^_`{-~])")
         joined = {m[1] for t, _ in vocabulary["pieces"] for m in after.finditer(t)}
@@ -102,13 +108,14 @@ class Lattice:
             ids = np.array([i for _, i in rows], dtype=np.int64)
             sieve = np.zeros(1 << 16, dtype=bool)
             sieve[((keys * M2) >> SIEVE).view(np.int64)] = True
-            self.tables[n] = (keys, ids, -np.log(ids + float(RANK_SHIFT)), sieve)
+            self.tables[n] = (keys, ids, self.weight[ids], sieve)
         self.heads = {}  # by length, a sieve of what longer pieces begin with
         for n, begins in heads.items():
             keys = np.array([self._hash(_points(t)) for t in begins], dtype=np.uint64)
             self.heads[n] = np.zeros(1 << 18, dtype=bool)
             self.heads[n][((keys * M2) >> WIDE_SIEVE).view(np.int64)] = True
         self.longest = max(self.tables)
+        self.width = -(-self.longest // 8) * 8
         self.first, self.powers = np.empty(0, dtype=bool), np.empty(0, dtype=np.uint64)
         self.reset(PLACES)
 
@@ -124,9 +131,9 @@ class Lattice:
         self.keys, self.numbers, self.used = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), 0
         self.start = self.end = np.empty(0, dtype=np.int64)
         if room > len(self.first):
-            self.ids = np.empty((room, self.longest), dtype=np.int32)
-            self.logq = np.empty((room, self.longest), dtype=np.float32)
-            self.upto = np.empty((room, self.longest), dtype=np.float32)
+            self.ids = np.empty((room, self.width), dtype=np.int32)
+            self.upto = np.empty((room, self.width), dtype=np.float32)
+            self.beta = np.empty(room)
             self.first, self.single = np.empty(room, dtype=bool), np.empty(room, dtype=bool)
 
     def chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,30 +216,30 @@ class Lattice:
         cp[places] = points
         rest = np.zeros(n, dtype=np.int64)
         rest[places] = np.repeat(end, sizes) - places
-        score = np.full((n, width), -np.inf, dtype=np.float32)
-        ids, logq, upto = self.ids[base:base + n], self.logq[base:base + n], self.upto[base:base + n]
-        logq[:], upto[:] = -np.inf, 2.0
+        score = np.full((n, width), -np.inf)
+        ids, upto = self.ids[base:base + n], self.upto[base:base + n]
+        ids[:], upto[:] = -1, 2.0
         h, at = np.zeros(len(places), dtype=np.uint64), places
         for m in range(1, width + 1):
             if m > 1:
-                live = np.flatnonzero((rest[at] >= m) & self.heads[m - 1][((h * M2) >> WIDE_SIEVE).view(np.int64)])
-                at, h = at[live], h[live]
+                live = np.flatnonzero((rest.take(at) >= m) & self.heads[m - 1].take(((h * M2) >> WIDE_SIEVE).view(np.int64)))
+                at, h = at.take(live), h.take(live)
             if not len(at):
                 break
-            h = h * M1 + (cp[at + m - 1] + np.uint64(1))
+            h = h * M1 + (cp.take(at + m - 1) + np.uint64(1))
             if m not in self.tables:
                 continue
             keys, own, weight, sieve = self.tables[m]
-            maybe = np.flatnonzero(sieve[((h * M2) >> SIEVE).view(np.int64)])
-            key = h[maybe]
+            maybe = np.flatnonzero(sieve.take(((h * M2) >> SIEVE).view(np.int64)))
+            key = h.take(maybe)
             k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = np.flatnonzero(keys[k] == key)
-            where, k = at[maybe[hit]], k[hit]
+            hit = np.flatnonzero(keys.take(k) == key)
+            where, k = at.take(maybe.take(hit)), k.take(hit)
             score[where, m - 1], ids[where, m - 1] = weight[k], own[k]
         bare = places[np.isneginf(score[places, 0])]
         point = cp[bare].astype(np.int64)
         point[point == ord(MARK)] = ord(BLANK)
-        score[bare, 0] = BYTE_SCORE * (1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF))
+        score[bare, 0] = _byte_score(point)
         ids[bare, 0] = np.where(point < 0x80, self.byte_ids[np.minimum(point, 0x7F)], WIDE + point)
         beta = np.zeros(n + width)  # log mass of the segmentations from a place to its chunk's end
         order = places[np.argsort(rest[places], kind="stable")]
@@ -241,36 +248,57 @@ class Lattice:
         for d in range(len(bound) - 1):
             p = order[bound[d]:bound[d + 1]]
             w = min(width, d + 1)
-            x = score[p, :w] + beta[p[:, None] + span[:w]]
+            x = score.take(p, axis=0)[:, :w] + beta.take(p[:, None] + span[:w])
             top = x.max(axis=1)
             sums = np.cumsum(np.exp(x - top[:, None]), axis=1)
             total = sums[:, -1:]
             beta[p] = mass = top + np.log(total[:, 0])
-            logq[p, :w] = x - mass[:, None]
             upto[p, :w] = np.where(sums >= total, 2.0, sums / total)  # the last piece takes the rounding
-        self.single[base:base + n] = (logq > -np.inf).sum(axis=1) < 2
+        self.beta[base:base + n] = beta[:n]
+        self.single[base:base + n] = (ids >= 0).sum(axis=1) < 2
+
+    def log_q(self, places: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Log probability of each choice: the piece's weight and what the rest weighs after and before it."""
+        weight = self.weight.take(ids, mode="clip")
+        wide = np.flatnonzero(ids >= WIDE)
+        if len(wide):
+            weight[wide] = _byte_score(ids[wide] - WIDE)
+        return weight + self.beta.take(places + lengths + 1) - self.beta.take(places)
+
+    def branches(self, place: int) -> list[tuple[int, float]]:
+        """(length, log probability) of each piece from a place."""
+        row = self.ids[place]
+        m = np.flatnonzero(row >= 0)
+        return list(zip(m.tolist(), self.log_q(place, m, row[m]).tolist(), strict=True))
+
+    def below(self, p: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """How many cumulative probabilities at each place are not above ``u``; eight are counted at once."""
+        rows = (self.upto.take(p, axis=0) <= u[:, None]).view(np.uint64)
+        return np.bitwise_count(rows).sum(axis=1, dtype=np.int64) if rows.shape[1] > 2 else np.add.reduce(
+            [np.bitwise_count(rows[:, j]) for j in range(rows.shape[1])], axis=0, dtype=np.int64)
 
     def draw(self, which: np.ndarray, seed: np.ndarray, stream: int):
-        """An ancestral sample of each chunk occurrence: (offsets, places, lengths)."""
+        """An ancestral sample of each chunk occurrence: (offsets, places, lengths, ids, log probabilities)."""
         at, end = self.start[which].copy(), self.end[which]
         live, step, taken = np.arange(len(which)), 0, []
         count = np.zeros(len(which), dtype=np.int64)
         base = seed + times(stream + 1, M2)
         while len(live):
-            p = at[live]
-            u = (mix(base[live] + times(step, M3)) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
-            m = (self.upto[p] <= u[:, None]).sum(axis=1)
+            p = at.take(live)
+            u = (mix(base.take(live) + times(step, M3)) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+            m = self.below(p, u)
             taken.append((live, p, m))
             count[live] += 1
             at[live] = p + m + 1
-            live = live[at[live] < end[live]]
+            live = live.compress(p + m + 1 < end.take(live))
             step += 1
         offsets = np.concatenate([[0], np.cumsum(count)])
         places, lengths = np.empty(offsets[-1], dtype=np.int64), np.empty(offsets[-1], dtype=np.int64)
         for step, (who, p, m) in enumerate(taken):
             where = offsets[who] + step
             places[where], lengths[where] = p, m
-        return offsets, places, lengths
+        ids = self.ids.reshape(-1).take(places * self.width + lengths)
+        return offsets, places, lengths, ids, self.log_q(places, lengths, ids)
 
 
 class Noise:
@@ -294,40 +322,40 @@ class Noise:
 
 
 def top_k(lat: Lattice, k: int, seed: int, stream) -> list[tuple]:
-    """([(perturbed, log_prob, places, lengths)] of the k best leaves, threshold).
+    """([(perturbed, log_prob, ids)] of the k best leaves, threshold).
 
-    stream(s) gives (chunk offsets, places, lengths) of the s-th independent sample of the text.
-    A frontier node holds the leaves that leave a path at ``depth`` or later, less the branches
-    taken out already (``gone``); ``mass`` has the mass of its branches by place of leaving.
+    stream(s) gives (chunk offsets, places, lengths, ids, log probabilities) of the s-th
+    independent sample of the text. A frontier node holds the leaves that leave a path at
+    ``depth`` or later, less the branches taken out already (``gone``); ``mass`` has the mass of
+    its branches by place of leaving.
     """
     noise, heap, out, count = Noise(seed), [], [], itertools.count()
 
     def push(g, path, depth, mass, gone):
         total = float(mass.sum())
         if total > 0:
-            g = noise.below(float(path[2][depth]) + math.log(total), g)
+            g = noise.below(float(path[4][depth]) + math.log(total), g)
             heapq.heappush(heap, (-g, next(count), path, depth, mass, gone))
 
-    def leaf(g, places, lengths, depth):
-        logq = lat.logq[places, lengths].astype(np.float64)
-        before = np.concatenate([[0.0], np.cumsum(logq)])
-        out.append((g, float(before[-1]), places, lengths))
+    def leaf(g, places, lengths, ids, logq, depth):
+        before = np.zeros(len(logq) + 1)
+        np.cumsum(logq, out=before[1:])
+        out.append((g, float(before[-1]), ids))
         if depth < len(places):
             mass = np.exp(before[depth:-1] - before[depth]) * -np.expm1(np.minimum(logq[depth:], 0.0))
-            mass[lat.single[places[depth:]]] = 0.0
-            push(g, (places, lengths, before), depth, mass, {})
+            mass[lat.single.take(places[depth:])] = 0.0
+            push(g, (places, lengths, ids, logq, before), depth, mass, {})
 
-    offsets, places, lengths = stream(0)
-    leaf(-math.log(-math.log(noise.uniform())), places, lengths, 0)
+    leaf(-math.log(-math.log(noise.uniform())), *stream(0)[1:], 0)
     while heap and len(out) < k:
         neg, _, path, depth, mass, gone = heapq.heappop(heap)
-        g, (places, lengths, before) = -neg, path
+        g, (places, lengths, ids, logq, before) = -neg, path
         sums = np.cumsum(mass)
         j = min(int(np.searchsorted(sums, noise.uniform() * sums[-1], side="right")), int(np.flatnonzero(mass)[-1]))
         at = depth + j
         p = int(places[at])
         taken = {int(lengths[at]), *gone.get(at, ())}
-        open_ = [(m, math.exp(q)) for m, q in enumerate(lat.logq[p].tolist()) if q > -math.inf and m not in taken]
+        open_ = [(m, math.exp(q)) for m, q in lat.branches(p) if m not in taken]
         u = noise.uniform() * sum(x for _, x in open_)
         for choice, x in open_:
             u -= x
@@ -346,9 +374,11 @@ def top_k(lat: Lattice, k: int, seed: int, stream) -> list[tuple]:
             new_p.append(here)
             new_m.append(m)
             here += m + 1
-        offsets, sp, sm = stream(len(out))
-        leaf(g, np.concatenate([places[:at], new_p, sp[offsets[t]:]]),
-             np.concatenate([lengths[:at], new_m, sm[offsets[t]:]]), at + 1)
+        new_p, new_m = np.array(new_p), np.array(new_m)
+        new_ids = lat.ids[new_p, new_m]
+        offsets, *after = stream(len(out))
+        new = (new_p, new_m, new_ids, lat.log_q(new_p, new_m, new_ids))
+        leaf(g, *(np.concatenate([a[:at], b, c[offsets[t]:]]) for a, b, c in zip(path, new, after, strict=False)), at + 1)
     return out, (-heap[0][0] if heap else -math.inf)
 
 
@@ -368,12 +398,12 @@ def encode_slice(lat: Lattice, keys: list, texts: list[str], k: int):
             continue
 
         def stream(s, lo=lo, hi=hi):
-            offsets, places, lengths = drawn[s]
+            offsets, *parts = drawn[s]
             a, b = offsets[lo], offsets[hi]
-            return offsets[lo:hi + 1] - a, places[a:b], lengths[a:b]
+            return offsets[lo:hi + 1] - a, *(x[a:b] for x in parts)
 
         found, threshold = top_k(lat, k, int(seeds[i]), stream)
-        yield [(_flat(lat, lat.ids[p, m]), logp, g) for g, logp, p, m in found], threshold
+        yield [(_flat(lat, ids), logp, g) for g, logp, ids in found], threshold
 
 
 def _flat(lat: Lattice, ids: np.ndarray) -> np.ndarray:
@@ -406,9 +436,9 @@ class Decoder:
         if not ids:
             return []
         flat = np.concatenate(ids)
-        n = self.size[flat]
+        n = self.size.take(flat)
         ends = np.cumsum(n)
-        raw = self.flat[np.arange(int(n.sum())) + np.repeat(self.at[flat] - (ends - n), n)]
+        raw = self.flat.take(np.arange(int(n.sum())) + np.repeat(self.at.take(flat) - (ends - n), n))
         want = [f" {t}".encode("utf-8", "surrogatepass") if t else b"" for t in texts]
         sizes = np.diff(np.concatenate([[0], ends])[np.cumsum([len(x) for x in ids])], prepend=0)
         if sizes.tolist() == list(map(len, want)) and raw.tobytes() == b"".join(want):
