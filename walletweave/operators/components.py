@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Alternating large-star and small-star rounds, each written to shared storage, until
     nothing changes. Minima are pre-aggregated before the shuffle and the join that deals
     them back is a plain equi-join that AQE splits where a hub is hot. Nodes without an
-    edge other than to themselves do not appear.
+    edge other than to themselves do not appear. ``drop_stage`` deletes what the result reads.
     """
     cur = stage(
         edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
@@ -53,4 +53,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             break
         before = after
     roots = cur.select(F.col("m").alias("v"), "m").distinct()
-    return cur.unionAll(roots).select(F.col("v").alias("node"), F.col("m").alias("root"))
+    out = cur.unionAll(roots).select(F.col("v").alias("node"), F.col("m").alias("root"))
+    out._stage_path = cur._stage_path
+    return out
