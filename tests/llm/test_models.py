@@ -2,11 +2,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from walletweave.llm import decontaminate as D
 from walletweave.llm import language, tokens, toxicity
-from walletweave.llm.shingles import WordHashes
 
 
 def words(rng, n):
@@ -156,6 +156,25 @@ def distance(a, b):
     return min(row)
 
 
+def hashed(text):
+    return next(D.text_hashes(pa.array([text], pa.string())))
+
+
+def test_words_are_those_of_the_pattern():
+    """Equal words have equal hashes and others differ, whatever the texts beside them, over slices and nulls."""
+    rng = random.Random(4)
+    texts = [None, "", "É é ÉÉ", "a_b-c'd 12", "\tX  x\x0bY", "日本 language, İx", "x" * 300_000 + " y", "..."] + [
+        "".join(rng.choice("abÉé _-1.,\n\x1c\x7f'ß") for _ in range(rng.randrange(80))) for _ in range(300)]
+    found, seen = list(D.text_hashes(pa.array([None, *texts, "tail"], pa.string()).slice(1, len(texts)))), {}
+    assert len(found) == len(texts)
+    for t, h in zip(texts, found, strict=True):
+        w = D.WORD.findall(t.lower()) if t else []
+        assert len(w) == len(h)
+        for word, value in zip(w, h.tolist(), strict=True):
+            assert seen.setdefault(word, value) == value
+    assert len(set(seen.values())) == len(seen) > 100
+
+
 def test_best_fit_is_exact():
     rng = random.Random(2)
     for _ in range(200):
@@ -192,11 +211,10 @@ def test_recall_and_precision_against_brute_force(spark):
     df = spark.createDataFrame([(d, ", ".join(w).title()) for d, w in docs], "doc_id long, text string")
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(99, None), (98, " .,"), (0, " ".join(items[0][1]))], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in D.contamination(df, bench).collect()}
-    memo = WordHashes()
-    hashes = {i: D.word_hashes(" ".join(w), memo).tolist() for i, w in items}
+    hashes = {i: hashed(" ".join(w)).tolist() for i, w in items}
     want = {}
     for d, w in docs:
-        h = D.word_hashes(" ".join(w), memo).tolist()
+        h = hashed(" ".join(w)).tolist()
         for i, own in hashes.items():
             if (e := distance(own, h)) <= D.allowed(len(own)):
                 want[d, i] = e
@@ -210,13 +228,13 @@ def test_recall_and_precision_against_brute_force(spark):
 def test_long_items_with_one_sided_edits_are_all_found(n, insert):
     rng = random.Random(n)
     items = [(i, [f"i{i}w{j}" for j in range(n)]) for i in range(12)]
-    memo, texts = WordHashes(), []
+    texts = []
     for _, own in items:
         w = list(own)
         for _ in range(D.allowed(n)):
             at = rng.randrange(len(w))
             w[at:at + (not insert)] = ["new"] * insert
-        texts.append(D.word_hashes(" ".join(["before"] * 30 + w + ["after"] * 30), memo))
+        texts.append(hashed(" ".join(["before"] * 30 + w + ["after"] * 30)))
     index = D.Index([(i, " ".join(w)) for i, w in items])
     want = {(i, i) for i in range(12) if distance(index.items[i][1].tolist(), texts[i].tolist()) <= D.allowed(n)}
     assert len(want) == 12 and {(d, item) for d, item, *_ in index.matches(texts)} == want
@@ -232,3 +250,15 @@ def test_edge_cases_of_decontamination(spark):
     assert clean.columns == df.columns and {r.doc_id for r in clean.collect()} == {1, 2, 6, 7}
     assert D.keep_uncontaminated(df, bench.limit(0)).count() == len(rows)
     assert D.contamination(df.limit(0), bench).count() == 0
+
+
+def test_rows_are_judged_one_by_one_and_in_passes(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_ITEMS", 2)
+    items = [" ".join(words(random.Random(i), 30)) for i in range(5)]
+    big = 2**60
+    rows = [(None, items[0], "a"), (None, "clean one", "b"), (big + 1, items[4], "c"), (big + 1, "clean two", "d"), (big + 2, "x " + items[2], "e"), (None, None, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, all string").coalesce(1)
+    bench = spark.createDataFrame([(big + i, t) for i, t in enumerate(items)], "item_id long, text string")
+    assert Counter((r.doc_id, r.item_id) for r in D.contamination(df, bench).collect()) == Counter([(None, big), (big + 1, big + 4), (big + 2, big + 2)])
+    kept = D.keep_uncontaminated(df, bench)
+    assert kept.columns == df.columns and sorted(r["all"] for r in kept.collect()) == ["b", "d", "f"]

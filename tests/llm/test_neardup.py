@@ -1,15 +1,17 @@
 import random
+import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from walletweave.llm import neardup
-from walletweave.llm.shingles import WordHashes, shingle_set
+from walletweave.llm.shingles import shingle_sets
 
 
 def brute(rows, k, percent):
     """{row number: (n_shingles, component)} by comparing all pairs of sets."""
-    memo = WordHashes()
-    sets = [set(shingle_set(t, k, memo).tolist()) for _, t in rows]
+    sets = [set(s.tolist()) for s in shingle_sets(pa.array([t for _, t in rows], pa.string()), k)]
     up = list(range(len(rows)))
 
     def root(x):
@@ -129,3 +131,64 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_duplicates(df).count() == 0
     assert neardup.near_duplicates(spark.createDataFrame([(1, None)], df.schema)).count() == 1
+
+
+def test_shingles_are_those_of_the_words():
+    """Set sizes and equality follow the word rule, over slices, nulls and offsets."""
+    rng = random.Random(2)
+    texts = [None, "", " \t", "a", "A  b", "a b", "a b c", "É x y z", "x" * 300_000 + " q r s"] + ["".join(rng.choice("abAB \t\n\x0b\x1cé\u00a0") for _ in range(rng.randrange(40))) for _ in range(400)]
+    found = list(shingle_sets(pa.array(["skip", *texts], pa.string()).slice(1), 3))
+    assert len(found) == len(texts)
+    by_set = {}
+    for t, s in zip(texts, found, strict=True):
+        w = re.findall("[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        want = frozenset(tuple(w[i:i + 3]) for i in range(len(w) - 2)) if len(w) >= 3 else frozenset([tuple(w)] if w else [])
+        assert len(s) == len(want) and (np.diff(s.astype(object)) > 0).all()
+        assert by_set.setdefault(want, s.tobytes()) == s.tobytes()
+    assert len(set(by_set.values())) == len(by_set)
+
+
+def test_links_of_long_and_many_sets_match_brute_force():
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2**60, 3000).astype(np.uint64)
+    sets = []
+    for i in range(120):
+        keep = rng.random(3000) > [0.0, 0.05, 0.08, 0.2][i % 4]
+        sets.append(np.unique(np.concatenate([base[keep], rng.integers(1, 2**60, [0, 40, 300, 700][i // 4 % 4]).astype(np.uint64)])))
+    sets += [np.array([7], dtype=np.uint64), np.array([7, 9], dtype=np.uint64)]
+    for split in (0, 50):
+        pairs = [(i, j) for i in range(len(sets)) for j in range(i) if not split or j < split <= i]
+        want, got = neardup.Forest(), neardup.Forest()
+        for i, j in pairs:
+            n = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+                want.link(i, j)
+        for i, j in neardup._links(sets, list(range(len(sets))), 85, split):
+            assert got.link(i, j)
+        assert [want.root(i) for i in range(len(sets))] == [got.root(i) for i in range(len(sets))]
+
+
+def test_rows_with_null_and_repeated_ids(spark):
+    big = 2**60
+    same = "one two three four five six seven eight"
+    rows = [(None, same, "a"), (None, same, "b"), (big + 1, same + " nine", "c"), (big + 1, "other words in this text are kept", "d"),
+            (None, "a text of its own stays here", "e"), (big + 2, same, "f"), (big + 2, same, "g"), (None, None, "h"), (None, "", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string").coalesce(1)
+    got = neardup.near_duplicates(df, shingle=3, threshold=0.85).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(
+        [(None, big + 1), (None, big + 1), (big + 1, big + 1), (big + 1, big + 1), (None, None), (big + 2, big + 1), (big + 2, big + 1), (None, None), (None, None)], key=str)
+    kept = neardup.keep_representatives(df, shingle=3, threshold=0.85)
+    assert kept.columns == df.columns and sorted(r["row"] for r in kept.collect()) == ["c", "d", "e", "h", "i"]
+    twice = neardup.keep_representatives(spark.createDataFrame(rows[:2] + rows[5:7] * 3 + [(None, "solo text here", "x")] * 4, df.schema).repartition(3))
+    assert sorted(r.text for r in twice.collect()) == [same, "solo text here"]
+
+
+def test_hot_keys_are_looked_up_right(spark, monkeypatch):
+    from walletweave.llm import common
+
+    monkeypatch.setattr(common, "HOT", 4)
+    left = spark.createDataFrame([(i, None if i % 10 == 0 else 7 if i % 2 else i % 50) for i in range(300)], "i long, g long")
+    right = left.where("g is not null").groupBy("g").count().where("g <> 4").selectExpr("g", "count AS m", "g * 2 AS v", "string(g) AS w")
+    got = common.join_hot(left, right, "g", "m", spread="i")
+    assert got.columns == ["i", "g", "v", "w"] and got.count() == 300
+    assert all(r.v == (None if r.g in (None, 4) else 2 * r.g) and (r.v is None) == (r.w is None) for r in got.collect())

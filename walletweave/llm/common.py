@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.staging import drop_stage, stage
 from ..operators.components import connected_components
 
-__all__ = ["SPACE_CLASS", "WORD_CLASS", "connected_components", "drop_stage", "let", "stage", "table", "words_of"]
+__all__ = ["SPACE_CLASS", "WORD_CLASS", "connected_components", "drop_stage", "join_hot", "let", "stage", "table", "words_of"]
 
 #: ASCII white space as the word rule names it: space and \x09-\x0D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -30,3 +30,26 @@ def let(value, body):
 def words_of(text):
     """Words of a text as an array; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")
+
+
+#: A key with more than this share of all rows is hot; there are at most ``HOT`` of them.
+HOT = 4096
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, rows: str, spread: str) -> DataFrame:
+    """``left`` left-joined with ``right``, which has one row a key and, in ``rows``, how often ``left`` has it.
+
+    Keys of more than 1 / ``HOT`` of the rows are at most ``HOT`` and are broadcast; the others meet in a
+    shuffle, so no key has a larger share of a partition than that. Rows of hot or null keys are spread
+    by ``spread``. ``right`` should be a written table: it is read twice.
+    """
+    limit = (right.agg(F.sum(rows)).first()[0] or 0) // HOT
+    values = [c for c in right.columns if c not in (key, rows)]
+    hot = F.broadcast(right.where(F.col(rows) > limit).select(  # at most HOT rows
+        F.col(key).alias("__hot"), F.struct(*values).alias("__a")))
+    cold = right.where(F.col(rows) <= limit).select(
+        F.col(key).alias("__cold"), F.lit(0).cast("long").alias("__slot"), F.struct(*values).alias("__b"))
+    one = left.join(hot, F.col(key) == F.col("__hot"), "left").withColumn("__at", F.when(
+        F.col(key).isNull() | F.col("__hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(1 << 20)) + 1).otherwise(0).cast("long"))
+    both = one.join(cold, (F.col(key) == F.col("__cold")) & (F.col("__at") == F.col("__slot")), "left")
+    return both.select(*[F.col(c) for c in left.columns], *[F.coalesce(F.col(f"__a.{v}"), F.col(f"__b.{v}")).alias(v) for v in values])

@@ -14,25 +14,27 @@ from it share at least n - q + 1 - k q places of equal runs of q words (and one
 less than one), so places with fewer of the item's runs near them are skipped without loss.
 
 The benchmark is used in blocks of ``BLOCK_ITEMS`` items; one block's size is bounded and it is
-all that is sent to the tasks, so a larger benchmark means more passes.
+all that the driver and the tasks hold at a time, so a larger benchmark means more passes.
 
 Defined cases: null, empty or wordless documents and items match nothing; repeated items with one
-id give one row a document; repeated documents are each judged; an empty benchmark matches
-nothing; other columns stay.
+id give one row a document; every row is judged by its own text, whatever its id (null, repeated
+or beyond 2**53); an empty benchmark matches nothing; the filter returns the input's columns.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .shingles import M1, WordHashes, mix, rolling
+from .shingles import BYTES, M1, mix, rolling, slices, utf8, word_hashes
 
 WORD = re.compile(r"\w+")
 WALKS, TABLES, BITS = 8, 4, 2
@@ -45,11 +47,23 @@ MAX_EDITS = 0.2
 RUN = 3
 #: Documents whose windows are embedded together.
 SLICE = 1000
+#: Byte values of words of letters, digits and underscores; other ASCII characters part words.
+WORD_BYTES = np.where([i > 127 or chr(i).isalnum() or i == ord("_") for i in range(256)], BYTES, np.uint64(0))
 
 
-def word_hashes(text: str | None, memo: WordHashes) -> np.ndarray:
-    w = [x.encode("utf-8", "surrogatepass") for x in WORD.findall(text.lower())] if text else []
-    return np.fromiter(map(memo.__getitem__, w), dtype=np.uint64, count=len(w))
+def text_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The hashes of each text's words, in order. Texts beyond ASCII are parted by ``WORD`` first."""
+    data, bounds = utf8(texts)
+    for lo, hi in slices(bounds):
+        part, ends = data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo]
+        if len(part) and part.max() > 127:
+            raw = part.tobytes()
+            plain = [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            plain = [t if t.isascii() else " ".join(WORD.findall(t.decode().lower())).encode() for t in plain]
+            part, ends = np.frombuffer(b"".join(plain), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in plain])])
+        h, before = word_hashes(part, ends, WORD_BYTES)
+        for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True):
+            yield h[a:b]
 
 
 def allowed(n: int) -> int:
@@ -117,8 +131,8 @@ class Index:
     """The hash tables of one block of items."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        memo = WordHashes()
-        self.items = [(i, h) for i, t in items if len(h := word_hashes(t, memo))]
+        hashes = text_hashes(pa.array([t for _, t in items], pa.string()))
+        self.items = [(i, h) for (i, _), h in zip(items, hashes, strict=True) if len(h)]
         by_size: dict[int, list[int]] = defaultdict(list)
         runs: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         # A run leads to a size of tabled items, as -n, or to a long item, as its number.
@@ -195,46 +209,83 @@ class Index:
                 yield d, item, *best
 
 
+def _blocks(benchmark: DataFrame, item: str, item_text: str) -> Iterator[list[tuple]]:
+    """The distinct (id, text) items, ``BLOCK_ITEMS`` at a time."""
+    rows = benchmark.select(F.col(item), F.col(item_text).cast("string")).where(F.col(item_text).isNotNull()).distinct()
+    pending = map(tuple, rows.toLocalIterator())
+    while block := list(itertools.islice(pending, BLOCK_ITEMS)):
+        yield block
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item_id, n_words, edits, similarity, start_word, end_word): a row for each item in a document."""
+    from .common import stage
+
     spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"k {kind}, item_id {benchmark.schema[item].dataType.simpleString()}, n_words int, edits int, similarity double, start_word int, end_word int"
-    rows = benchmark.select(F.col(item), F.col(item_text)).where(F.col(item_text).isNotNull()).distinct()
-    blocks, out = [], None
-    pending: list[tuple[int, str]] = []
-    for r in rows.toLocalIterator():
-        pending.append((r[0], r[1]))
-        if len(pending) == BLOCK_ITEMS:
-            blocks.append(spark.sparkContext.broadcast(pending))
-            pending = []
-    blocks.append(spark.sparkContext.broadcast(pending))
-    for block in blocks:
-
-        def run(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
-            index, memo = Index(block.value), WordHashes()
-            for pdf in batches:
-                for lo in range(0, len(pdf), SLICE):
-                    part = pdf.iloc[lo:lo + SLICE]
-                    rows = list(index.matches([word_hashes(t, memo) for t in part["t"]]))
-                    out = pd.DataFrame(rows, columns=["d", "item", "edits", "start_word", "end_word"], dtype="int64")
-                    size = np.array([len(index.items[i][1]) for i in out["item"]], dtype=np.int64)
-                    yield pd.DataFrame({
-                        "k": part["k"].to_numpy()[out["d"].to_numpy()], "item_id": [index.items[i][0] for i in out["item"]], "n_words": size,
-                        "edits": out["edits"], "similarity": 1 - out["edits"] / size, "start_word": out["start_word"], "end_word": out["end_word"]})
-
-        part = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, schema)
+    kind, of = docs.schema[key].dataType.simpleString(), benchmark.schema[item].dataType
+    names = ["k", "item_id", "n_words", "edits", "similarity", "start_word", "end_word"]
+    schema = f"k {kind}, item_id {of.simpleString()}, n_words int, edits int, similarity double, start_word int, end_word int"
+    ids = to_arrow_type(of)
+    narrow = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
+    blocks = _blocks(benchmark, item, item_text)
+    block, out = next(blocks, []), None
+    while block or out is None:
+        held = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            index = Index(held.value)
+            for batch in batches:
+                texts = text_hashes(batch.column(1))
+                for lo in range(0, batch.num_rows, SLICE):
+                    part = batch.slice(lo, SLICE)
+                    rows = np.array(list(index.matches(list(itertools.islice(texts, part.num_rows)))), dtype=np.int64).reshape(-1, 5)
+                    size = np.array([len(index.items[i][1]) for i in rows[:, 1]], dtype=np.int64)
+                    cols = [size, rows[:, 2], 1 - rows[:, 2] / np.maximum(1, size), rows[:, 3], rows[:, 4]]
+                    yield pa.RecordBatch.from_arrays([
+                        part.column(0).take(pa.array(rows[:, 0], pa.int64())), pa.array([index.items[i][0] for i in rows[:, 1]], ids),
+                        *(pa.array(c, pa.float64() if c.dtype == float else pa.int32(), safe=False) for c in cols)], names=names)
+
+        part = narrow.mapInArrow(run, schema).withColumnRenamed("k", key)
+        block = next(blocks, [])
+        if block or out is not None:  # several passes: one at a time
+            part = stage(part, "leaks")
+            held.unpersist()
         out = part if out is None else out.unionAll(part)
-    return out.withColumnRenamed("k", key)
+    return out
+
+
+def _leaks(held):
+    """Whether a text holds an item of the block."""
+
+    @F.arrow_udf("boolean")
+    def leaks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = Index(held.value)
+        for batch in batches:
+            texts, bad = text_hashes(batch), np.zeros(len(batch), dtype=bool)
+            for lo in range(0, len(batch), SLICE):
+                for d, *_ in index.matches(list(itertools.islice(texts, min(SLICE, len(batch) - lo)))):
+                    bad[lo + d] = True
+            yield pa.array(bad)
+
+    return leaks
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents in which no benchmark item was found; every column stays."""
+    """Documents in which no benchmark item was found; every column stays. Rows are judged where they are, without a join."""
     from .common import stage
 
-    bad = stage(contamination(docs, benchmark, key, text).select(F.col(key).alias("__bad")).distinct(), "leaks")
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("__bad")), "left_anti")
+    out = docs.select(F.struct("*").alias("all"), F.col(text).cast("string").alias("t"))
+    blocks = _blocks(benchmark, "item_id", "text")
+    block = next(blocks, [])
+    while block:
+        held = docs.sparkSession.sparkContext.broadcast(block)
+        out = out.where(~_leaks(held)("t"))
+        block = next(blocks, [])
+        if block:  # several passes: one at a time
+            out = stage(out, "clean")
+            held.unpersist()
+    return out.select("all.*")
 
 
 def op10_cgk_edit_lsh(spark, sf_dir):

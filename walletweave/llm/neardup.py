@@ -9,17 +9,24 @@
    greater depth. Pairs whose signatures agree well enough link their nodes into regions; each
    task emits only a spanning forest of its part. The orders are range-partitioned, so a hot
    region spreads over tasks, and the rows at partition borders are stitched in a second pass.
-3. Inside a region the full shingle sets decide, and at every size all pairs meet. A region is
-   dealt into blocks of about ``BLOCK`` nodes; a unit is one block or a pair of blocks, and
-   every pair of blocks has its unit. A node goes to as many units as its region has blocks, so
-   regions of more than ``SPLIT`` + 1 blocks are dealt in passes of at most that many units a
-   node. Units emit verified links of a spanning forest only.
+3. Inside a region the full shingle sets decide, and at every size no pair above the threshold
+   is left out. A region is dealt into blocks of about ``BLOCK`` nodes or ``BLOCK_SHINGLES``
+   shingles; a unit is one block or a pair of blocks, and every pair of blocks has its unit. A
+   node goes to as many units as its region has blocks, so regions of more than ``SPLIT`` + 1
+   blocks are dealt in passes of at most that many units a node. Within a unit two sets are
+   compared when they share one of their rarest shingles, which sets above the threshold must
+   (prefix filter); units emit verified links of a spanning forest only.
 4. Components of the verified links give each row its class.
 
+Rows are told apart by ``row``, a 64-bit hash of id and text, so a null or repeated id is no
+hindrance; keys travel as Arrow values and are never converted.
+
 Defined cases: a null or blank text has no shingle and is linked with nothing; rows that share
 an id keep a row each; a null id never becomes the smallest id of a group; repeated rows are one
-node; an empty table gives an empty result; other columns of the input are not looked at.
-Two different sets share a node key with probability 2**-64 a pair.
+node; an empty table gives an empty result; other columns of the input are not looked at, and the
+filter returns them as they are, whatever their names. Of rows equal in id and text the filter
+keeps one. Two different sets share a node key, and two different rows a row hash, with
+probability 2**-64 a pair. The two narrow tables that the result reads stay in the shared folder.
 """
 
 from __future__ import annotations
@@ -31,17 +38,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop_stage, stage
-from .shingles import WordHashes, set_key, shingle_set
+from .common import WORD_CLASS, connected_components, drop_stage, join_hot, stage
+from .shingles import set_key, shingle_sets
 
 TREES, DEPTH, NEAR = 16, 3, 4
 N_HASH = TREES * DEPTH
-BLOCK, SPLIT = 2048, 8
+BLOCK, BLOCK_SHINGLES, SPLIT = 2048, 1_500_000, 8
 #: An agreement this far below the threshold is still a candidate: over 4.5 standard errors.
 SLACK = 0.25
+#: Rows a batch that goes back to the JVM.
+ROWS = 2048
+#: Rows that are equal in id and text are dealt over this many tasks.
+SALTS = 8
 
 _rng = np.random.default_rng(20240607)
 MUL = _rng.integers(1, 2**63, N_HASH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -79,28 +91,33 @@ class Forest:
         return True
 
 
+def row_hash(key: str, text: str):
+    return F.xxhash64(F.col(key), F.col(text))
+
+
 def signatures(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """(key, n_shingles, node, sig): node and sig are null where there is no shingle."""
+    """(k, row, n_shingles, node, sig): node and sig are null where there is no shingle."""
     kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHashes()
-        for pdf in batches:
-            sizes, nodes, sigs = [], [], []
-            known: dict = {}
-            for t in pdf["t"]:
-                s = shingle_set(t, shingle, memo)
-                sizes.append(len(s))
-                node = set_key(s) if len(s) else None
-                nodes.append(node)
-                if node is not None and node not in known:
-                    known[node] = minhash(s).tobytes()
-                sigs.append(known.get(node))
-            yield pd.DataFrame({"k": pdf["k"], "n_shingles": sizes,
-                                "node": pd.array(nodes, dtype="Int64"), "sig": sigs})
-
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(
-        run, f"k {kind}, n_shingles long, node long, sig binary")
+    names = ["k", "row", "n_shingles", "node", "sig"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column(2), shingle)
+            for lo in range(0, batch.num_rows, ROWS):
+                part, sizes, nodes, sigs = batch.slice(lo, ROWS), [], [], []
+                known: dict = {}
+                for s in itertools.islice(sets, part.num_rows):
+                    node = set_key(s) if len(s) else None
+                    if node is not None and node not in known:
+                        known[node] = minhash(s).tobytes()
+                    sizes.append(len(s))
+                    nodes.append(node)
+                    sigs.append(known.get(node))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary())], names=names)
+
+    return docs.select(F.col(key).alias("k"), row_hash(key, text).alias("row"), F.col(text).cast("string").alias("t")).mapInArrow(
+        run, f"k {kind}, row long, n_shingles long, node long, sig binary")
 
 
 def _neighbours(rows: DataFrame, agree: int, stitch: bool) -> DataFrame:
@@ -142,61 +159,78 @@ def _neighbours(rows: DataFrame, agree: int, stitch: bool) -> DataFrame:
     return rows.mapInPandas(run, "kind int, a long, b long, tree int, skey binary")
 
 
-def candidate_edges(nodes: DataFrame, agree: int) -> DataFrame:
-    """Edges between nodes that are forest neighbours and whose signatures agree in ``agree`` values."""
+def candidate_regions(nodes: DataFrame, agree: int) -> DataFrame:
+    """(node, root) of nodes linked by forest neighbours whose signatures agree in ``agree`` values."""
     trees = F.sequence(F.lit(0), F.lit(TREES - 1))
     width = 2 * DEPTH
     rows = nodes.select("node", "sig", F.explode(trees).alias("tree")).select(
         "tree", F.expr(f"concat(substring(sig, tree * {width} + 1), substring(sig, 1, tree * {width}))").alias("skey"), "node")
-    ordered = rows.repartitionByRange("tree", "skey", "node").sortWithinPartitions("tree", "skey", "node")
-    found = stage(_neighbours(ordered, agree, stitch=True), "forest")
-    # Border rows are 2 * NEAR a partition: few, whatever the partitions hold.
-    borders = found.where("kind = 1").select("tree", "skey", F.col("a").alias("node")).distinct()
-    borders = borders.coalesce(1).sortWithinPartitions("tree", "skey", "node")
-    stitched = _neighbours(borders, agree, stitch=False)
-    return found.where("kind = 0").select("a", "b").unionAll(stitched.select("a", "b"))
+    order = ("tree", "skey", "node")
+    found = stage(_neighbours(rows.repartitionByRange(*order).sortWithinPartitions(*order), agree, stitch=True), "forest")
+    border = found.where("kind = 1").select("tree", "skey", F.col("a").alias("node")).distinct()
+    used, edges = [found], found.where("kind = 0").select("a", "b")
+    # A partition leaves 2 * NEAR border rows; where those are many they are stitched in parts first.
+    while (parts := border.count() // (1 << 16)) > 0:
+        part = stage(_neighbours(border.repartitionByRange(parts, *order).sortWithinPartitions(*order), agree, stitch=True), "forest")
+        used.append(part)
+        edges = edges.unionAll(part.where("kind = 0").select("a", "b"))
+        border = part.where("kind = 1").select("tree", "skey", F.col("a").alias("node")).distinct()
+    last = _neighbours(border.coalesce(1).sortWithinPartitions(*order), agree, stitch=False)
+    out = connected_components(edges.unionAll(last.select("a", "b")))
+    for df in used:
+        drop_stage(df)
+    return out
 
 
 def _links(sets: list[np.ndarray], nodes: list[int], percent: int, split: int) -> list:
     """Verified links that join parts of the forest.
 
-    Sets become packed bit rows over the hashes that at least two of them have; a row is
-    compared with the earlier rows of other parts in one pass; with ``split``, rows from there
-    on are compared with all rows before it and no others.
+    Shingles are ranked from rare to frequent. Two sets above the threshold share a shingle among
+    the first ``size - least common size + 1`` of each, so only such pairs are compared; pairs
+    that are in one part already are not. With ``split``, rows from there on are compared with
+    the rows before it and no others.
     """
     n, forest = len(sets), Forest()
     sizes = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    _, col, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = times > 1
-    place = np.cumsum(shared) - 1
-    keep = shared[col]
-    row = np.repeat(np.arange(n), sizes)[keep]
-    col = place[col[keep]]
-    width = max(1, -(-int(shared.sum()) // 64)) * 64
-    bits = np.empty((n, width // 64), dtype=np.uint64)
-    step = max(1, 64_000_000 // width)
-    ends = np.searchsorted(row, np.arange(n + 1))
-    for i in range(0, n, step):
-        j = min(n, i + step)
-        block = np.zeros((j - i, width), dtype=bool)
-        block[row[ends[i]:ends[j]] - i, col[ends[i]:ends[j]]] = True
-        bits[i:j] = np.packbits(block, axis=1).view(np.uint64)
-    out = []
-    part = np.array([forest.root(x) for x in nodes])
+    _, col, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(times), dtype=np.int64)
+    rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+    lone = int((times < 2).sum())  # ranks below are of one set only
+    row = np.repeat(np.arange(n), sizes)
+    token = np.sort(row * len(times) + rank[col]) - row * len(times)
+    ends = np.cumsum(sizes)
+    first = ends - sizes
+    reach = sizes - -(-percent * sizes // 100) + 1
+    head = (np.arange(len(token)) - first[row] < reach[row]) & (token >= lone)
+    by_token = np.flatnonzero(head)[np.argsort(token[head], kind="stable")]
+    holders, place = row[by_token], np.searchsorted(token[by_token], np.arange(lone, len(times) + 1))
+    mark = np.zeros(len(times), dtype=bool)
+    out, part = [], np.array([forest.root(x) for x in nodes])
     for i in range(split or 1, n):
-        end = split or i
-        lo, hi = np.minimum(sizes[:end], sizes[i]), np.maximum(sizes[:end], sizes[i])
-        at = np.flatnonzero((part[:end] != part[i]) & (100 * lo >= percent * hi))
-        if not len(at):
+        own = token[first[i]:ends[i]]
+        lead = own[:reach[i]]
+        lead = lead[lead >= lone] - lone
+        if not len(lead):
             continue
-        common = np.concatenate([
-            np.bitwise_count(bits[at[x:x + 512]] & bits[i]).sum(axis=1, dtype=np.int64) for x in range(0, len(at), 512)])
-        good = at[100 * common >= percent * (sizes[at] + sizes[i] - common)]
-        if len(good):
-            joined = np.append(part[good], part[i])
-            out += [(nodes[i], nodes[j]) for j in good.tolist() if forest.link(nodes[i], nodes[j])]
-            part[np.isin(part, joined)] = forest.root(nodes[i])
+        near, shared = np.unique(np.concatenate([holders[place[x]:place[x + 1]] for x in lead.tolist()]), return_counts=True)
+        ok = (near < (split or i)) & (part[near] != part[i])
+        ok &= 100 * np.minimum(sizes[near], sizes[i]) >= percent * np.maximum(sizes[near], sizes[i])
+        near = near[ok][np.argsort(-shared[ok], kind="stable")]
+        mark[own] = True
+        step = 4
+        while len(near):
+            some, near = near[:step], near[step:]
+            step = min(4 * step, 256)
+            size = sizes[some]
+            at = np.cumsum(size) - size
+            common = np.add.reduceat(mark[token[np.arange(int(size.sum())) + np.repeat(first[some] - at, size)]], at, dtype=np.int64)
+            good = some[100 * common >= percent * (size + sizes[i] - common)]
+            if len(good):
+                joined = np.append(part[good], part[i])
+                out += [(nodes[i], nodes[j]) for j in good.tolist() if forest.link(nodes[i], nodes[j])]
+                part[np.isin(part, joined)] = forest.root(nodes[i])
+                near = near[part[near] != part[i]]
+        mark[own] = False
     return out
 
 
@@ -209,25 +243,25 @@ def verified_links(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def unit_links(rows: Iterator[tuple[int, int, np.ndarray]]) -> list:
         sides: tuple[dict, dict] = {}, {}
-        for side, node, s in rows:
-            sides[side].setdefault(node, s)
-        nodes, sets = [*sides[0], *sides[1]], [*sides[0].values(), *sides[1].values()]
+        for side, s in rows:
+            if len(s):
+                sides[side].setdefault(set_key(s), s)
+        both = sides[0].keys() & sides[1].keys()
+        nodes = [x for side in sides for x in side if not (side is sides[1] and x in both)]
+        sets = [sides[0].get(x, sides[1].get(x)) for x in nodes]
         return _links(sets, nodes, percent, len(sides[0]) if sides[1] else 0) if len(nodes) > 1 else []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHashes()
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def stream():
-            for pdf in batches:
-                for unit, side, t in zip(pdf["unit"].tolist(), pdf["side"].tolist(), pdf["t"], strict=True):
-                    s = shingle_set(t, shingle, memo)
-                    yield unit, side, set_key(s), s
+            for batch in batches:
+                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2), shingle), strict=True)
 
         for _, rows in itertools.groupby(stream(), key=lambda x: x[0]):
             if links := unit_links(row[1:] for row in rows):
-                yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+                a, b = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return texts.repartition("unit").sortWithinPartitions("unit").mapInPandas(run, "a long, b long")
+    return texts.repartition("unit").sortWithinPartitions("unit").select("unit", "side", "t").mapInArrow(run, "a long, b long")
 
 
 def _deal(members: DataFrame, first: int, stop: int) -> DataFrame:
@@ -240,47 +274,73 @@ def _deal(members: DataFrame, first: int, stop: int) -> DataFrame:
     return members.where(f"n_blocks div 2 >= {first}").withColumn("at", F.explode(units)).select("*", "at.unit", "at.side")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                    shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row; see the module's text."""
+def _classes(docs: DataFrame, key: str, text: str, shingle: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(signatures, (node, rows, component_id, best)), both staged; ``best`` is the least (id is null, id, row) of the class."""
     percent = round(100 * threshold)
-    docs = docs.select(key, text)
     sig = stage(signatures(docs, key, text, shingle), "minhash")
-    nodes = sig.where("node is not null").groupBy("node").agg(F.min("k").alias("k"), F.any_value("sig").alias("sig"))
-    nodes = stage(nodes, "nodes")
-    agree = math.floor(N_HASH * (threshold - SLACK))
-    regions = stage(connected_components(candidate_edges(nodes.select("node", "sig"), agree)), "regions")
-    sizes = regions.groupBy("root").agg(F.count("*").alias("m"))
-    members = regions.join(sizes, "root").join(nodes.select("node", "k"), "node").withColumn(
-        "n_blocks", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).select("k", "root", "n_blocks", "block")
-    whole = docs.select(F.col(key).alias("__k"), F.col(text).alias("t"))
-    most = math.ceil((sizes.agg(F.max("m")).first()[0] or 0) / BLOCK)
-    step = SPLIT // 2 + 1
-    links = []
+    nodes = stage(sig.where("node is not null").groupBy("node").agg(
+        F.min("k").alias("k"), F.min(F.struct(F.col("k").isNull().alias("no"), "k", "row")).alias("best"),
+        F.count("*").alias("rows"), F.min("n_shingles").alias("n"), F.any_value("sig").alias("sig")), "nodes")
+    regions = candidate_regions(nodes.select("node", "sig"), math.floor(N_HASH * (threshold - SLACK)))
+    members = stage(regions.join(nodes.select("node", "best.row", "n"), "node"), "regions")
+    drop_stage(regions)
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    sizes = stage(members.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("total")).select("root", "m", blocks.alias("n_blocks")), "sizes")
+    most = sizes.agg(F.max("n_blocks")).first()[0] or 0
+    # Regions of one block need no size: only larger ones are looked up.
+    dealt = join_hot(members, sizes.where("n_blocks > 1"), "root", "m", spread="node").select(
+        F.col("row"), "root", F.coalesce("n_blocks", F.lit(1)).alias("n_blocks"), "node").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).drop("node")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    whole = docs.select(row_hash(key, text).alias("row"), F.col(text).cast("string").alias("t"),
+                        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"))
+    texts = dealt.withColumn("salt", salts).join(whole, ["row", "salt"]).groupBy("row", "salt").agg(
+        F.first(F.struct("root", "n_blocks", "block")).alias("at"), F.first("t").alias("t")).select("at.*", "t")
+    step, links = SPLIT // 2 + 1, []
     for first in range(0, most // 2 + 1, step):
         if first == step:  # texts of the large regions only
-            large = stage(members.where(f"n_blocks div 2 >= {step}").join(whole, F.col("k").eqNullSafe(whole["__k"])), "large")
-        if first:
-            texts = _deal(large, first, first + step)
-        else:
-            texts = _deal(members, 0, step).join(whole, F.col("k").eqNullSafe(whole["__k"]))
-        links.append(stage(verified_links(texts.select("unit", "side", "t"), shingle, percent), "links"))
-    links = functools.reduce(DataFrame.unionAll, links)
-    parts = connected_components(links)
-    named = nodes.select("node", "k").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ids = named.groupBy("root").agg(F.min("k").alias("component_id"))
-    classes = named.join(ids, "root").select(F.col("node").alias("__node"), "component_id")
-    out = sig.drop("sig").join(classes, sig["node"] == classes["__node"], "left")
+            texts = large = stage(texts.where(f"n_blocks div 2 >= {step}"), "large")
+        units = _deal(texts, first, first + step)
+        links.append(stage(verified_links(units.select("unit", "side", "t"), shingle, percent), "links"))
+    parts = connected_components(functools.reduce(DataFrame.unionAll, links))
+    linked = stage(parts.join(nodes.select("node", "k", "best"), "node"), "linked")
+    ids = stage(linked.groupBy("root").agg(F.min("k").alias("component_id"), F.min("best").alias("least"), F.count("*").alias("m")), "ids")
+    named = join_hot(linked.select("node", "root"), ids, "root", "m", spread="node").select("node", "component_id", "least")
+    classes = stage(nodes.join(named, "node", "left").select(
+        "node", "rows", F.coalesce("component_id", "k").alias("component_id"), F.coalesce("least", "best").alias("best")), "classes")
+    for df in (nodes, members, sizes, parts, linked, ids, *links, *([large] if most // 2 >= step else [])):
+        drop_stage(df)
+    return sig, classes
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                    shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """(key, n_shingles, component_id, kept) of every row; see the module's text."""
+    sig, classes = _classes(docs, key, text, shingle, threshold)
+    out = join_hot(sig.select("k", "row", "n_shingles", "node"), classes.drop("best"), "node", "rows", spread="row")
     component = F.coalesce("component_id", "k")
     return out.select(F.col("k").alias(key), "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("k") == component, component.isNull()).alias("kept"))
 
 
 def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **rule) -> DataFrame:
-    """Documents with one of each near-duplicate group; every column stays."""
-    kept = near_duplicates(docs, key, text, **rule).where("kept").select(F.col(key).alias("__kept")).distinct()
-    return docs.join(kept, F.col(key).eqNullSafe(F.col("__kept")), "left_semi")
+    """Documents with one of each near-duplicate group, and those without a word; every column stays."""
+    sig, classes = _classes(docs, key, text, **{"shingle": 5, "threshold": 0.8} | rule)
+    packed = docs.select(F.struct("*").alias("all"), row_hash(key, text).alias("row"),
+                         F.coalesce(F.col(text).cast("string").rlike(WORD_CLASS), F.lit(False)).alias("worded"))
+    chosen = classes.select("best.row").distinct()
+    again = sig.where("node is not null").groupBy("row").count().where("count > 1").select("row")
+    out = packed.where("NOT worded").select("all")
+    if again.isEmpty():
+        kept = packed.where("worded").join(chosen, "row", "left_semi")
+    else:  # rows equal in id and text: spread by salt, then one of each
+        salted = packed.where("worded").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        marked = chosen.join(again.withColumn("twice", F.lit(True)), "row", "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        found = salted.join(marked, ["row", "salt"])
+        one = found.where("twice").groupBy("row").agg(F.first("all").alias("all"))
+        kept = found.where("twice IS NULL").select("row", "all").unionByName(one)
+    return out.unionByName(kept.select("all")).select("all.*")
 
 
 def op1_minhash_forest(spark, sf_dir):
