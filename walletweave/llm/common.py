@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.staging import drop_stage, stage
+from ..functions.staging import drop_stage, shared_dir, stage
 from ..operators.components import connected_components
 
-__all__ = ["SPACE_CLASS", "WORD_CLASS", "connected_components", "drop_stage", "join_hot", "let", "stage", "table", "words_of"]
+__all__ = ["SPACE_CLASS", "WORD_CLASS", "connected_components", "drop_stage", "free", "give_back", "join_hot", "let", "shared_dir", "stage", "table", "words_of"]
 
 #: ASCII white space as the word rule names it: space and \x09-\x0D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -19,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores after it while the input has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value, body):
     """Bind a column once inside an expression: ``body`` gets a lambda variable.
 
@@ -32,6 +44,23 @@ def words_of(text):
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")
 
 
+def give_back(batches: Iterator) -> Iterator:
+    """The batches of a task; after the last, memory that is no longer used goes back to the system.
+
+    A Python worker lives on for later tasks and stages, beside those of other queries.
+    """
+    import pyarrow as pa
+
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+        if trim:
+            trim(0)
+
+
 #: A key with more than this share of all rows is hot; there are at most ``HOT`` of them.
 HOT = 4096
 

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .common import give_back, stage
 from .shingles import BYTES, M1, mix, rolling, slices, utf8, word_hashes
 
 WORD = re.compile(r"\w+")
@@ -220,8 +221,6 @@ def _blocks(benchmark: DataFrame, item: str, item_text: str) -> Iterator[list[tu
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item_id, n_words, edits, similarity, start_word, end_word): a row for each item in a document."""
-    from .common import stage
-
     spark = docs.sparkSession
     kind, of = docs.schema[key].dataType.simpleString(), benchmark.schema[item].dataType
     names = ["k", "item_id", "n_words", "edits", "similarity", "start_word", "end_word"]
@@ -235,7 +234,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index = Index(held.value)
-            for batch in batches:
+            for batch in give_back(batches):
                 texts = text_hashes(batch.column(1))
                 for lo in range(0, batch.num_rows, SLICE):
                     part = batch.slice(lo, SLICE)
@@ -261,7 +260,7 @@ def _leaks(held):
     @F.arrow_udf("boolean")
     def leaks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = Index(held.value)
-        for batch in batches:
+        for batch in give_back(batches):
             texts, bad = text_hashes(batch), np.zeros(len(batch), dtype=bool)
             for lo in range(0, len(batch), SLICE):
                 for d, *_ in index.matches(list(itertools.islice(texts, min(SLICE, len(batch) - lo)))):
@@ -273,8 +272,6 @@ def _leaks(held):
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents in which no benchmark item was found; every column stays. Rows are judged where they are, without a join."""
-    from .common import stage
-
     out = docs.select(F.struct("*").alias("all"), F.col(text).cast("string").alias("t"))
     blocks = _blocks(benchmark, "item_id", "text")
     block = next(blocks, [])

@@ -37,12 +37,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS, connected_components, drop_stage, join_hot, stage
+from .common import WORD_CLASS, connected_components, drop_stage, give_back, join_hot, stage
 from .shingles import set_key, shingle_sets
 
 TREES, DEPTH, NEAR = 16, 3, 4
@@ -101,7 +100,7 @@ def signatures(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     names = ["k", "row", "n_shingles", "node", "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in give_back(batches):
             sets = shingle_sets(batch.column(2), shingle)
             for lo in range(0, batch.num_rows, ROWS):
                 part, sizes, nodes, sigs = batch.slice(lo, ROWS), [], [], []
@@ -123,40 +122,39 @@ def signatures(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
 def _neighbours(rows: DataFrame, agree: int, stitch: bool) -> DataFrame:
     """(kind, a, b, row): kind 0 a forest edge a-b, kind 1 a row at the border of its partition."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forest, last, first, edges = Forest(), None, True, []
-        borders: list = []
+    names = ["kind", "a", "b", "tree", "skey"]
 
-        def border(pdf):
-            borders.extend(zip(pdf["tree"], pdf["skey"], pdf["node"], strict=True))
-
-        for pdf in batches:
-            if not len(pdf):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, edges, borders, last = Forest(), [], [], None
+        for batch in give_back(batches):
+            if not batch.num_rows:
                 continue
-            if stitch and first:
-                border(pdf.head(NEAR))
-            first = False
+            if stitch and last is None:
+                borders.append(batch.slice(0, NEAR))
             if last is not None:
-                pdf = pd.concat([last, pdf], ignore_index=True)
-            sig = np.frombuffer(b"".join(pdf["skey"]), dtype=">u2").reshape(len(pdf), N_HASH)
-            tree, node = pdf["tree"].to_numpy(), pdf["node"].to_numpy()
-            for o in range(1, min(NEAR, len(pdf) - 1) + 1):
+                batch = pa.concat_batches([last, batch])
+            tree, skey, node = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_numpy()
+            sig = np.frombuffer(b"".join(skey.to_pylist()), dtype=">u2").reshape(batch.num_rows, N_HASH)
+            for o in range(1, min(NEAR, batch.num_rows - 1) + 1):
                 same = (sig[o:, :DEPTH] == sig[:-o, :DEPTH]).all(axis=1) & (tree[o:] == tree[:-o])
                 at = np.flatnonzero(same)
                 at = at[(sig[at + o] == sig[at]).sum(axis=1) >= agree]
                 for a, b in zip(node[at].tolist(), node[at + o].tolist(), strict=True):
                     if a != b and forest.link(a, b):
                         edges.append((a, b))
-            last = pdf.tail(NEAR)
+            last = batch.slice(max(0, batch.num_rows - NEAR))
         if stitch and last is not None:
-            border(last)
-        out = pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
-        yield out.assign(kind=0, tree=0, skey=None)[["kind", "a", "b", "tree", "skey"]]
-        if borders:
-            b = pd.DataFrame(borders, columns=["tree", "skey", "a"])
-            yield b.assign(kind=1, b=0)[["kind", "a", "b", "tree", "skey"]]
+            borders.append(last)
+        n = len(edges)
+        a, b = zip(*edges, strict=True) if edges else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                                          pa.array([0] * n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
+        for part in borders:
+            n = part.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([1] * n, pa.int32()), part.column(2).cast(pa.int64()), pa.array([0] * n, pa.int64()),
+                                              part.column(0).cast(pa.int32()), part.column(1)], names=names)
 
-    return rows.mapInPandas(run, "kind int, a long, b long, tree int, skey binary")
+    return rows.select("tree", "skey", "node").mapInArrow(run, "kind int, a long, b long, tree int, skey binary")
 
 
 def candidate_regions(nodes: DataFrame, agree: int) -> DataFrame:
@@ -253,7 +251,7 @@ def verified_links(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def stream():
-            for batch in batches:
+            for batch in give_back(batches):
                 yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2), shingle), strict=True)
 
         for _, rows in itertools.groupby(stream(), key=lambda x: x[0]):

@@ -34,12 +34,12 @@ from collections.abc import Iterator
 from operator import itemgetter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import free, give_back
 from .shingles import M1, M2, M3, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -52,9 +52,9 @@ ASIDE = 0x250  # code points from here are neither Latin letters nor marks
 INVERSE = np.uint64(pow(int(M1), -1, 1 << 64))
 #: Characters of text worked on together.
 SLICE = 200_000
-#: Lattice places kept from slice to slice, about 140 bytes each.
-PLACES = 1_600_000
-WIDE = 1 << 24  # ids from here stand for a character encoded as several bytes
+#: Lattice places kept from slice to slice, about 110 bytes each.
+PLACES = 900_000
+WIDE, NONE = 0xFFFE, 0xFFFF  # in place of an id: a character encoded as several bytes, no piece
 MARK = "\ud800"  # stands for a literal blank mark while chunking; no valid text holds it
 
 
@@ -66,6 +66,8 @@ def read_vocabulary(path: str = MODEL) -> dict:
     n = sp.get_piece_size()
     special = [sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) for i in range(n)]
     text = [None if s else sp.id_to_piece(i) for i, s in enumerate(special)]
+    if n >= WIDE:
+        raise ValueError("a vocabulary of 65,534 pieces or more needs wider ids")
     whole = re.compile(f"{BLANK}*[^{BLANK}\n]*")
     return {"text": text, "bytes": [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)],
             "pieces": [(t, i) for i, t in enumerate(text) if t and whole.fullmatch(t)], "size": n}
@@ -131,7 +133,8 @@ class Lattice:
         self.keys, self.numbers, self.used = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), 0
         self.start = self.end = np.empty(0, dtype=np.int64)
         if room > len(self.first):
-            self.ids = np.empty((room, self.width), dtype=np.int32)
+            self.ids = np.empty((room, self.width), dtype=np.uint16)
+            self.point = np.empty(room, dtype=np.uint32)
             self.upto = np.empty((room, self.width), dtype=np.float32)
             self.beta = np.empty(room)
             self.first, self.single = np.empty(room, dtype=bool), np.empty(room, dtype=bool)
@@ -218,7 +221,8 @@ class Lattice:
         rest[places] = np.repeat(end, sizes) - places
         score = np.full((n, width), -np.inf)
         ids, upto = self.ids[base:base + n], self.upto[base:base + n]
-        ids[:], upto[:] = -1, 2.0
+        ids[:], upto[:] = NONE, 2.0
+        self.point[base:base + n] = cp[:n]
         h, at = np.zeros(len(places), dtype=np.uint64), places
         for m in range(1, width + 1):
             if m > 1:
@@ -240,7 +244,7 @@ class Lattice:
         point = cp[bare].astype(np.int64)
         point[point == ord(MARK)] = ord(BLANK)
         score[bare, 0] = _byte_score(point)
-        ids[bare, 0] = np.where(point < 0x80, self.byte_ids[np.minimum(point, 0x7F)], WIDE + point)
+        ids[bare, 0] = np.where(point < 0x80, self.byte_ids[np.minimum(point, 0x7F)], WIDE)
         beta = np.zeros(n + width)  # log mass of the segmentations from a place to its chunk's end
         order = places[np.argsort(rest[places], kind="stable")]
         bound = np.searchsorted(rest[order], np.arange(1, int(sizes.max()) + 2))
@@ -255,21 +259,26 @@ class Lattice:
             beta[p] = mass = top + np.log(total[:, 0])
             upto[p, :w] = np.where(sums >= total, 2.0, sums / total)  # the last piece takes the rounding
         self.beta[base:base + n] = beta[:n]
-        self.single[base:base + n] = (ids >= 0).sum(axis=1) < 2
+        self.single[base:base + n] = (ids != NONE).sum(axis=1) < 2
 
     def log_q(self, places: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Log probability of each choice: the piece's weight and what the rest weighs after and before it."""
         weight = self.weight.take(ids, mode="clip")
-        wide = np.flatnonzero(ids >= WIDE)
+        wide = np.flatnonzero(ids == WIDE)
         if len(wide):
-            weight[wide] = _byte_score(ids[wide] - WIDE)
+            weight[wide] = _byte_score(self.character(places[wide]))
         return weight + self.beta.take(places + lengths + 1) - self.beta.take(places)
 
+    def character(self, places: np.ndarray) -> np.ndarray:
+        point = self.point[places].astype(np.int64)
+        point[point == ord(MARK)] = ord(BLANK)
+        return point
+
     def branches(self, place: int) -> list[tuple[int, float]]:
         """(length, log probability) of each piece from a place."""
         row = self.ids[place]
-        m = np.flatnonzero(row >= 0)
-        return list(zip(m.tolist(), self.log_q(place, m, row[m]).tolist(), strict=True))
+        m = np.flatnonzero(row != NONE)
+        return list(zip(m.tolist(), self.log_q(np.full(len(m), place), m, row[m]).tolist(), strict=True))
 
     def below(self, p: np.ndarray, u: np.ndarray) -> np.ndarray:
         """How many cumulative probabilities at each place are not above ``u``; eight are counted at once."""
@@ -322,7 +331,7 @@ class Noise:
 
 
 def top_k(lat: Lattice, k: int, seed: int, stream) -> list[tuple]:
-    """([(perturbed, log_prob, ids)] of the k best leaves, threshold).
+    """([(perturbed, log_prob, places, ids)] of the k best leaves, threshold).
 
     stream(s) gives (chunk offsets, places, lengths, ids, log probabilities) of the s-th
     independent sample of the text. A frontier node holds the leaves that leave a path at
@@ -340,7 +349,7 @@ def top_k(lat: Lattice, k: int, seed: int, stream) -> list[tuple]:
     def leaf(g, places, lengths, ids, logq, depth):
         before = np.zeros(len(logq) + 1)
         np.cumsum(logq, out=before[1:])
-        out.append((g, float(before[-1]), ids))
+        out.append((g, float(before[-1]), places, ids))
         if depth < len(places):
             mass = np.exp(before[depth:-1] - before[depth]) * -np.expm1(np.minimum(logq[depth:], 0.0))
             mass[lat.single.take(places[depth:])] = 0.0
@@ -403,16 +412,17 @@ def encode_slice(lat: Lattice, keys: list, texts: list[str], k: int):
             return offsets[lo:hi + 1] - a, *(x[a:b] for x in parts)
 
         found, threshold = top_k(lat, k, int(seeds[i]), stream)
-        yield [(_flat(lat, ids), logp, g) for g, logp, ids in found], threshold
+        yield [(_flat(lat, places, ids), logp, g) for g, logp, places, ids in found], threshold
 
 
-def _flat(lat: Lattice, ids: np.ndarray) -> np.ndarray:
-    wide = np.flatnonzero(ids >= WIDE)
+def _flat(lat: Lattice, places: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The ids with each wide character as the ids of its bytes."""
+    wide = np.flatnonzero(ids == WIDE)
     if not len(wide):
         return ids
     out, last = [], 0
-    for i in wide.tolist():
-        out += [ids[last:i], lat.byte_ids[list(chr(int(ids[i]) - WIDE).encode("utf-8", "surrogatepass"))]]
+    for i, point in zip(wide.tolist(), lat.character(places[wide]).tolist(), strict=True):
+        out += [ids[last:i], lat.byte_ids[list(chr(point).encode("utf-8", "surrogatepass"))].astype(ids.dtype)]
         last = i + 1
     return np.concatenate([*out, ids[last:]])
 
@@ -456,7 +466,7 @@ def sample_encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat, decode = Lattice(held.value), Decoder(held.value)
-        for batch in batches:
+        for batch in give_back(batches):
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             lo = 0
             while lo < len(texts):
@@ -489,16 +499,16 @@ def sample_encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
 
 
 def decode(encoded: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
-    """Add ``decoded``, the text of each id sequence; null ids give null."""
+    """Add ``decoded``, the text of each id sequence; null ids give null. The input's columns stay."""
     held = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(model))
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = Decoder(held.value)
-        for s in batches:
-            yield s.map(lambda x: None if x is None else one(x))
+        for ids in batches:
+            yield pa.array([None if x is None else one(x) for x in ids.to_pylist()], pa.string())
 
-    return encoded.withColumn("decoded", run(F.col(ids)))
+    return encoded.select("*", run(F.col(ids)).alias(free(encoded, "decoded")))
 
 
 def op2_gumbel_top_k(spark, sf_dir):
