@@ -13,7 +13,8 @@ Spans are [start, end) in code points of the whole text.
 
 Defined cases: null or empty text has no span; rows that repeat give the same spans each; a null
 id is an id like others; a weak token that overlaps a base span is that span, not a part of its
-own; an empty table gives an empty result; other columns stay (names starting with ``__`` are ours).
+own; an empty table gives an empty result; the input's columns stay, whatever their names, and where
+one is called ``secrets`` the new column is named with an underscore after it.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import free, stage
 
 SCOPE = 400
 REDACTED = "[REDACTED]"
@@ -93,38 +94,46 @@ def _all_spans(base_only: bool = False):
     return F.expr(f"array_sort({base})" if base_only else f"array_sort(concat({base}, coalesce(added, array())))")
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with ``secrets``: array of (start, rank, end, kind), sorted.
+def _scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(all, t, secrets): each input row as a struct, its text and its spans.
 
-    Texts are not shuffled: rows without a weak part go straight through, and only the few with
-    one meet the links of their row.
+    The patterns run once: rows and spans are written together. Texts are not shuffled but for
+    the few rows with a weak part, which meet their links.
     """
-    parts = with_parts(docs, key, text).withColumn("__key", F.col(key))
+    packed = docs.select(F.struct("*").alias("all"), F.col(key).alias("__key"), F.col(text).cast("string").alias("t"))
+    parts = stage(with_parts(packed, "__key", "t"), "parts")
     weak = "size(__ident) + size(__weak) + size(__endpoint) > 0"
     mine = [f"__{k}" for k, *_ in KINDS] + ["__row", "__key"]
-    links = stage(_linked(parts.where(weak).select(*mine)), "links").select(
-        F.col("__key").alias("__k2"), F.col("__row").alias("__r2"), "added")
+    links = _linked(parts.where(weak).select(*mine)).select(F.col("__key").alias("__k2"), F.col("__row").alias("__r2"), "added")
     straight = parts.where(f"NOT ({weak})").withColumn("secrets", _all_spans(base_only=True))
     joined = parts.where(weak).join(
-        links, (F.col("__row") == F.col("__r2")) & F.col("__key").eqNullSafe(F.col("__k2")), "left"
-    ).withColumn("secrets", _all_spans()).drop("__k2", "__r2", "added")
-    return straight.unionByName(joined).drop(*mine)
+        links, (F.col("__row") == F.col("__r2")) & F.col("__key").eqNullSafe(F.col("__k2")), "left").withColumn("secrets", _all_spans())
+    return straight.select("all", "t", "secrets").unionByName(joined.select("all", "t", "secrets"))
+
+
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with ``secrets``: array of (start, rank, end, kind), sorted."""
+    return _scanned(docs, key, text).select("all.*", F.col("secrets").alias(free(docs, "secrets")))
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The documents with every span replaced in the text; a length column follows. Columns stay."""
-    names = docs.columns
-    out = scan(docs, key, text).withColumn("__cut", F.expr(f"""
-      aggregate(secrets, struct(0 AS at, CAST(array() AS array<string>) AS o), (acc, x) -> struct(
+    cut = F.expr(f"""aggregate(secrets, struct(0 AS at, CAST(array() AS array<string>) AS o), (acc, x) -> struct(
         greatest(acc.at, x.end) AS at,
         CASE WHEN x.start >= acc.at
-             THEN concat(acc.o, array(substring(`{text}`, acc.at + 1, x.start - acc.at), '{REDACTED}')) ELSE acc.o END AS o),
-        acc -> CASE WHEN size(acc.o) = 0 THEN `{text}` ELSE concat(array_join(acc.o, ''), substring(`{text}`, acc.at + 1)) END)"""))
-    found = F.size("secrets") > 0
-    out = out.withColumn(text, F.when(found, F.col("__cut")).otherwise(F.col(text)))
-    if n_chars in names:
-        out = out.withColumn(n_chars, F.when(found, F.length(text).cast(docs.schema[n_chars].dataType)).otherwise(F.col(n_chars)))
-    return out.select(*[F.col(f"`{c}`") for c in names])
+             THEN concat(acc.o, array(substring(t, acc.at + 1, x.start - acc.at), '{REDACTED}')) ELSE acc.o END AS o),
+        acc -> CASE WHEN size(acc.o) = 0 THEN t ELSE concat(array_join(acc.o, ''), substring(t, acc.at + 1)) END)""")
+    out = _scanned(docs, key, text).select("all", (F.size("secrets") > 0).alias("found"), cut.alias("cut"))
+
+    def column(name):
+        own = F.col("all")[name]
+        if name == text:
+            return F.when(F.col("found"), F.col("cut")).otherwise(own).alias(name)
+        if name == n_chars:
+            return F.when(F.col("found"), F.length("cut").cast(docs.schema[name].dataType)).otherwise(own).alias(name)
+        return own.alias(name)
+
+    return out.select(*map(column, docs.columns))
 
 
 def op3_multipart_secrets(spark, sf_dir):
@@ -160,8 +169,8 @@ s AS (SELECT doc_id, kind, rank, least, g[i] AS g, m[i] AS m, c[i] AS c, i,
 p0 AS (SELECT doc_id, kind, rank, CAST(e - m AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM s WHERE c >= least),
 p AS (SELECT * FROM p0 a WHERE kind <> 'weak' OR NOT EXISTS (
         SELECT 1 FROM p0 b WHERE b.doc_id = a.doc_id AND b.rank < 3 AND b.s < a.e AND a.s < b.e)),
-x AS (SELECT *, EXISTS (SELECT 1 FROM p b WHERE b.doc_id = a.doc_id AND b.kind IN ('access', 'ident') AND a.s >= b.s - 400 AND a.s <= b.e + 400) AS near_id,
-             EXISTS (SELECT 1 FROM p b WHERE b.doc_id = a.doc_id AND b.kind IN ('assign', 'hex', 'weak') AND a.s >= b.s - 400 AND a.s <= b.e + 400) AS near_secret
+x AS (SELECT *, EXISTS (SELECT 1 FROM p b WHERE b.doc_id = a.doc_id AND b.kind IN ('access', 'ident') AND a.e >= b.s - 400 AND a.s <= b.e + 400) AS near_id,
+             EXISTS (SELECT 1 FROM p b WHERE b.doc_id = a.doc_id AND b.kind IN ('assign', 'hex', 'weak') AND a.e >= b.s - 400 AND a.s <= b.e + 400) AS near_secret
       FROM p a),
 r AS (SELECT * FROM x WHERE rank < 3 OR (kind = 'weak' AND near_id) OR (kind = 'ident' AND near_secret) OR (kind = 'endpoint' AND near_id AND near_secret)),
 o AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
