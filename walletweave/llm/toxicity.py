@@ -4,13 +4,16 @@ The categories are predicted one after the other: each later linear model sees t
 stems and the earlier categories' probabilities. For its training these are out-of-fold predictions, so a
 later model learns from probabilities as unsure as those it meets on new documents.
 
-Training uses a bounded sample of labelled rows (``max_rows``, taken by a hash of the id, so it
-does not depend on partitioning); every document is scored on its whole text.
+Training uses a bounded sample of labelled ids (``max_rows``, taken by a hash of the id, so it
+does not depend on partitioning) and one text of each; equal texts share a fold. Every document is
+scored on its whole text.
 
 Defined cases: null, empty or wordless text has probability 0 in every category; a null label is
 no label; repeated label rows count once, the larger value wins; without labels or with one class
-only, a category's probability is its observed share; rows with one id are all scored; an empty
-table gives an empty result; other columns stay.
+only, a category's probability is its observed share; rows with one id are all scored, and one of
+their texts, that of the least hash, stands for the id in training; an empty table gives an empty
+result; other columns stay, and where the input has a column ``toxicity`` the new one is named with
+an underscore after it.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import free, give_back, stage
+
 WORD = re.compile(r"\w+")
 STEMS = (3, 4, 5, 6)
 FOLDS = 5
@@ -60,7 +65,7 @@ def _prob(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, categories, max_rows: int) -> DataFrame:
-    """(k, words, category columns) of at most about ``max_rows`` labelled documents."""
+    """(k, fold, words, category columns) of at most about ``max_rows`` labelled documents, one row an id."""
     names = [n for n, _ in categories]
     known = labels.select(F.col(key).alias("k"), *[F.expr(e).cast("int").alias(n) for n, e in categories])
     known = known.where("k is not null").groupBy("k").agg(*[F.max(n).alias(n) for n in names]).dropna(subset=names)
@@ -68,20 +73,18 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, categories,
     share = min(1.0, max_rows / total)
     known = known.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1)).limit(2 * max_rows)
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(known), "k")  # bounded by max_rows
+    one = rows.groupBy("k", *names).agg(F.min_by("t", F.xxhash64("t")).alias("t"))
 
-    def run(batches):
-        for pdf in batches:
-            yield pdf.assign(words=[sorted(word_set(t)) for t in pdf["t"]])[["k", "words", *names]]
+    @F.pandas_udf("array<string>")
+    def all_words(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: sorted(word_set(t)))
 
-    kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInPandas(run, f"k {kind}, words array<string>, " + ", ".join(f"{n} int" for n in names))
+    return one.select("k", F.pmod(F.xxhash64("t"), F.lit(FOLDS)).cast("int").alias("fold"), all_words("t").alias("words"), *names)
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
               categories=CATEGORIES, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> dict:
     """{"words": {word: index}, "chain": [(category, weights)]}; weights: words, earlier categories, intercept."""
-    from .common import stage
-
     names = [n for n, _ in categories]
     sample = stage(_sample(docs, labels, key, text, categories, max_rows), "labelled")
     total = sample.agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names]).first()
@@ -98,12 +101,12 @@ def fit_chain(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         for r in counts.orderBy(score.desc(), "word").limit(max_features).collect():
             words.setdefault(r["word"], len(words))
     chosen = list(words)
-    rows = sample.select("k", *names, F.array_intersect("words", F.array(*map(F.lit, chosen)).cast("array<string>")).alias("has")).toPandas()
+    rows = sample.select("k", "fold", *names, F.array_intersect("words", F.array(*map(F.lit, chosen)).cast("array<string>")).alias("has")).toPandas()
     rows = rows.sort_values("k", kind="stable")  # the same sums whatever the partitioning
     x = np.zeros((len(rows), len(words)))
     for i, has in enumerate(rows["has"]):
         x[i, [words[h] for h in has]] = 1
-    fold = np.arange(len(rows)) % FOLDS
+    fold = rows["fold"].to_numpy()
     chain = []
     for n in names:
         y = rows[n].to_numpy(dtype=float)
@@ -116,14 +119,14 @@ def fit_chain(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """Add ``toxicity``, a struct of each category's probability."""
+    """Add ``toxicity``, a struct of each category's probability; the input's columns stay."""
     words, chain = model["words"], model["chain"]
     kind = "struct<" + ", ".join(f"{n}: double" for n, _ in chain) + ">"
 
     @F.pandas_udf(kind)
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vocabulary = words.keys()
-        for s in texts:
+        for s in give_back(texts):
             x = np.zeros((len(s), len(words)))
             none = np.zeros(len(s), dtype=bool)
             for i, t in enumerate(s):
@@ -137,7 +140,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 x = np.hstack([x, p[:, None]])
             yield pd.DataFrame(out)
 
-    return docs.withColumn("toxicity", run(F.col(text)))
+    return docs.select("*", run(F.col(text)).alias(free(docs, "toxicity")))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
