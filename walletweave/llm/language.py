@@ -7,9 +7,12 @@ Bayesian information criterion improves, all of small share at once or, where th
 one at a time, least share first.
 
 Defined cases: null text or text without a letter is ``und`` with score 0 and no languages; so is
-every text if nothing was learned; texts under three bytes are padded; a null id is not held out;
+every text if nothing was learned; a letter is a character of a Unicode letter category, so digits,
+fractions and superscripts are none; texts under three bytes are padded; a null id is not held out;
 ties go to the language that sorts first; repeated rows are predicted alike; an empty table gives
-an empty result.
+an empty result; other columns stay, and where the input has a column ``language`` the new one is
+named with an underscore after it. ``lang`` holds language codes: the model has ``BUCKETS`` numbers
+for each distinct value, on the driver and in each task.
 """
 
 from __future__ import annotations
@@ -23,11 +26,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import free, give_back
+
 BUCKETS = 1 << 16
-LETTER = re.compile(r"[^\W\d_]")
+WORDLIKE = re.compile(r"[^\W\d_]")
 ROUNDS = 25
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in WORDLIKE.finditer(text))
+
+
 def trigrams(text: str) -> np.ndarray:
     """Bucket of each byte trigram of the lower-cased text, one blank around it."""
     b = np.frombuffer(b" " + text.lower().encode("utf-8", "surrogatepass") + b" ", dtype=np.uint8).astype(np.uint32)
@@ -46,7 +55,7 @@ def learn(train: DataFrame, text: str = "text", lang: str = "lang") -> tuple[lis
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
-        for pdf in batches:
+        for pdf in give_back(batches):
             for lang, text in zip(pdf["l"], pdf["t"], strict=True):
                 if text:
                     if lang not in total:
@@ -112,16 +121,16 @@ def mixture(text: str, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """Add ``language``: struct(lang, score, langs, shares)."""
+    """Add ``language``: struct(lang, score, langs, shares); the input's columns stay."""
     langs, logp = model
     held = docs.sparkSession.sparkContext.broadcast(logp)  # BUCKETS x languages
 
     @F.pandas_udf("struct<lang: string, score: double, langs: array<string>, shares: array<double>>")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in texts:
+        for s in give_back(texts):
             out = []
             for t in s:
-                if not langs or not t or not LETTER.search(t):
+                if not langs or not t or not has_letter(t):
                     out.append(("und", 0.0, [], []))
                     continue
                 who, pi = mixture(t, held.value)
@@ -129,7 +138,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
                 out.append((names[0], float(min(1.0, pi[0])), names, pi.tolist()))
             yield pd.DataFrame(out, columns=["lang", "score", "langs", "shares"])
 
-    return docs.withColumn("language", run(F.col(text)))
+    return docs.select("*", run(F.col(text)).alias(free(docs, "language")))
 
 
 def held_out(key: str = "doc_id"):
