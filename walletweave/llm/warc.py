@@ -1,9 +1,11 @@
 """Resolution of not-modified revisits in web captures (DataFrame functions only).
 
-Each revisit is as-of joined, by canonical URL, to the latest earlier full response. The join
-has two levels: within (URL, time bucket) windows, and a carry over the buckets' last responses,
-at most ``BUCKETS`` rows a URL; so a URL with a third of all captures is spread over tasks. Only
-record ids travel through the windows; headers and bodies are fetched by id for what resolved.
+Each revisit is as-of joined, by canonical URL, to the latest earlier full response. The narrow
+records (ids, URL, time, validators) are range-partitioned by URL, time and id and written with the
+number of their range; the join then has two levels: within a range, and a carry of each range's
+last response of a URL to the next ranges. A URL with a third of all captures, even in one burst,
+spreads over as many ranges as its rows fill. Only narrow records travel through the windows;
+headers and bodies are fetched by id for what resolved.
 
 Outcomes: ``resolved`` (a validator agrees), ``unchecked`` (no validator is on both sides),
 ``mismatch`` (a validator differs; nothing is merged) and ``missing`` (no earlier response). The
@@ -13,8 +15,10 @@ revisit.
 
 Defined cases: null URLs never match; null times sort first and have no earlier response; equal
 times are ordered by record id; null headers are an empty map; header names are lower-cased (of
-names that differ in case only, the one that sorts first wins); an empty table gives an empty result. Record ids
-are expected to be unique; a repeated revisit gives a row each.
+names that differ in case only, the one that sorts first wins); an empty table gives an empty
+result; other columns are not looked at. Record ids name records: a repeated revisit gives a row
+each, all with the outcome of the one with the latest response, and of responses that share an id
+one is taken. A response without an id is not used and a revisit without one is ``missing``.
 """
 
 from __future__ import annotations
@@ -22,7 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+from .common import stage
+
 #: Header fields a not-modified response may update.
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary", "warning")
 
@@ -46,42 +51,53 @@ def _headers(h):
     return F.map_from_entries(first)
 
 
-def latest_earlier(records: DataFrame) -> DataFrame:
-    """(record_id, url_key, at_id): each revisit with the id of the latest earlier full response."""
-    rows = records.select("record_id", "url_key", "ts", (F.col("kind") == "response").alias("full"))
-    span = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    step = F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / BUCKETS))
-    rows = rows.where("url_key is not null").join(F.broadcast(span)).withColumn(  # one row
-        "bucket", F.coalesce(F.floor((F.col("ts") - F.col("lo")) / step), F.lit(-1))).drop("lo", "hi")
-    own = Window.partitionBy("url_key", "bucket").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, -1)
-    ends = rows.where("full").groupBy("url_key", "bucket").agg(F.max_by("record_id", F.struct("ts", "record_id")).alias("last_id"))
-    carry = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    marks = rows.select("url_key", "bucket").distinct().join(ends, ["url_key", "bucket"], "left").select(
-        "url_key", "bucket", F.last("last_id", True).over(carry).alias("before_id"))
-    inside = rows.withColumn("near_id", F.last(F.when(F.col("full"), F.col("record_id")), True).over(own)).where("NOT full")
-    return inside.join(marks, ["url_key", "bucket"]).select("record_id", F.coalesce("near_id", "before_id").alias("at_id"))
+def in_ranges(records: DataFrame) -> DataFrame:
+    """Narrow records with ``part``, the number of the range of (URL, time, id) they lie in; written."""
+    spread = records.where("url_key is not null").repartitionByRange("url_key", "ts", "record_id")
+    return stage(spread.withColumn("part", F.spark_partition_id()), "captures")
+
+
+def latest_earlier(ranged: DataFrame) -> DataFrame:
+    """The revisits of the narrow records, each with ``at``: the validators of the latest earlier full response."""
+    full = F.col("kind") == "response"
+    own = F.when(full, F.struct("record_id", "ts", "etag", "last_modified", "digest"))
+    order = Window.partitionBy("part", "url_key").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each range of a URL: few, as a URL fills whole ranges but for its first and last.
+    ends = ranged.groupBy("url_key", "part").agg(F.max_by(own, F.when(full, F.struct("ts", "record_id"))).alias("last"))
+    carry = Window.partitionBy("url_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    marks = ends.select(F.col("url_key").alias("u2"), F.col("part").alias("p2"), F.last("last", True).over(carry).alias("before"))
+    inside = ranged.withColumn("near", F.last(own, True).over(order)).where(F.col("kind") == "revisit")
+    return inside.join(marks, (F.col("url_key") == F.col("u2")) & (F.col("part") == F.col("p2"))).withColumn(
+        "at", F.coalesce("near", "before")).drop("u2", "p2", "near", "before", "part")
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row a revisit; records: record_id, url, ts (long), kind, status, etag, last_modified,
     digest, headers (map), body. A full response has kind ``response`` and status 200."""
-    names = ("record_id", "url", "ts", "kind", "status", "etag", "last_modified", "digest", "headers", "body")
-    full = (F.col("kind") == "response") & (F.col("status") == 200)
-    rows = records.select(*names).where(full | (F.col("kind") == "revisit")).withColumn("url_key", canonical_url(F.col("url")))
-    found = latest_earlier(rows).groupBy("record_id").agg(F.max("at_id").alias("at_id"))
-    revisits = rows.where("kind = 'revisit'").join(found, "record_id", "left")
-    old = rows.where("kind = 'response'").select(*[F.col(c).alias(f"o_{c}") for c in ("record_id", "etag", "last_modified", "digest", "headers", "body", "ts")])
-    both = revisits.join(old, F.col("at_id") == F.col("o_record_id"), "left")
-    tag = lambda c: F.regexp_replace(F.col(c), "^W/", "")
-    same = F.coalesce(tag("etag") == tag("o_etag"), F.col("last_modified") == F.col("o_last_modified"), F.col("digest") == F.col("o_digest"))
-    outcome = F.when(F.col("o_record_id").isNull(), "missing").when(same.isNull(), "unchecked").when(same, "resolved").otherwise("mismatch")
-    merged = F.map_concat(
-        F.map_filter(_headers(F.col("o_headers")), lambda k, v: ~(k.isin(*PERMITTED) & F.map_contains_key("__new", k))),
-        F.map_filter("__new", lambda k, v: k.isin(*PERMITTED)))
+    full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("record_id").isNotNull()
+    rows = records.where(full | (F.col("kind") == "revisit")).withColumn("url_key", canonical_url(F.col("url")))
+    validators = ("etag", "last_modified", "digest")
+    narrow = ("record_id", "url_key", "ts", "kind", *validators)
+    tag = lambda c: F.regexp_replace(c, "^W/", "")
+    at = F.col("at")
+    same = F.coalesce(tag(F.col("etag")) == tag(at["etag"]), F.col("last_modified") == at["last_modified"], F.col("digest") == at["digest"])
+    outcome = F.when(at.isNull(), "missing").when(same.isNull(), "unchecked").when(same, "resolved").otherwise("mismatch")
+    found = stage(latest_earlier(in_ranges(rows.select(*narrow))).select(
+        F.col("record_id").alias("r"), at["record_id"].alias("response_id"), at["ts"].alias("response_ts"), outcome.alias("outcome")).groupBy("r").agg(
+        F.max(F.struct("response_id", "response_ts", "outcome")).alias("f")).select("r", "f.*"), "resolved")
     good = F.col("outcome").isin("resolved", "unchecked")
-    return both.withColumn("outcome", outcome).withColumn("__new", _headers(F.col("headers"))).select(
-        "record_id", "url_key", "ts", "outcome", F.col("o_record_id").alias("response_id"), F.col("o_ts").alias("response_ts"),
-        F.when(good, merged).alias("headers"), F.when(good, F.col("o_body")).alias("body"))
+    wanted = found.where(good & F.col("response_id").isNotNull()).select(F.col("response_id").alias("w")).distinct()
+    old = rows.where("kind = 'response'").select(F.col("record_id").alias("o"), F.col("headers").alias("o_headers"), F.col("body").alias("o_body"))
+    old = old.join(wanted, F.col("o") == F.col("w"), "left_semi").groupBy("o").agg(F.min_by(F.struct("o_headers", "o_body"), F.xxhash64("o_body")).alias("old"))
+    revisits = rows.where("kind = 'revisit'").select("record_id", "url_key", "ts", "headers")
+    both = revisits.join(found, F.col("record_id") == F.col("r"), "left").withColumn(
+        "outcome", F.coalesce("outcome", F.lit("missing"))).join(old, (F.col("response_id") == F.col("o")) & good, "left")
+    merged = F.map_concat(
+        F.map_filter(_headers(F.col("old.o_headers")), lambda k, v: ~(k.isin(*PERMITTED) & F.map_contains_key("new", k))),
+        F.map_filter("new", lambda k, v: k.isin(*PERMITTED)))
+    return both.withColumn("new", _headers(F.col("headers"))).select(
+        "record_id", "url_key", "ts", "outcome", "response_id", "response_ts",
+        F.when(good, merged).alias("headers"), F.when(good, F.col("old.o_body")).alias("body"))
 
 
 def captures(pages: DataFrame) -> DataFrame:
