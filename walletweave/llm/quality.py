@@ -6,7 +6,9 @@ is shrunk with a beta prior fitted to all hosts by the method of moments, and th
 joined back to the documents.
 
 Defined cases: a null text counts as empty (0 words, failed); a null host forms a host of its
-own; repeated rows count each time; an empty table gives an empty result.
+own; repeated rows count each time; an empty table gives an empty result; the input's columns stay,
+and where it has a column of a new one's name (``rules``, ``host_rules``, ``kept``) the new one is
+named with an underscore after it.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, let, words_of
+from .common import SPACE_CLASS, free, join_hot, let, stage, words_of
 
 #: Characters counted as symbols.
 SYMBOLS = r"[#*$%&|<>]"
@@ -62,6 +64,11 @@ def _repeated(words):
 
 def document_rules(docs: DataFrame, text: str = "text", min_words: int = 50) -> DataFrame:
     """Add a struct ``rules`` with the measures and the verdict of each document."""
+    judged = _judged(docs.select(F.struct("*").alias("all"), F.col(text).cast("string").alias("t")), min_words)
+    return judged.select("all.*", F.col("rules").alias(free(docs, "rules")))
+
+
+def _judged(docs: DataFrame, min_words: int, text: str = "t") -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     measures = let(words_of(F.col(text)), lambda w: F.struct(
@@ -108,32 +115,45 @@ def host_verdicts(judged: DataFrame, host: str, failed: str, max_rate: float = 0
     )
 
 
+def _host_key(host):
+    """A key that is never null: a null host is a host of its own."""
+    return F.coalesce(F.concat(F.lit("="), host.cast("string")), F.lit(""))
+
+
+def _with_hosts(judged: DataFrame, host: str, max_rate: float) -> DataFrame:
+    """Judged rows (with ``rules``) with ``n``, ``n_failed``, ``shrunk_rate`` and ``host_ok`` of their host.
+
+    The host table is written: a hot host meets its rows by broadcast, the others in a shuffle.
+    """
+    hosts = stage(host_verdicts(judged.select(_host_key(F.col(host)).alias("h"), F.col("rules.base_failed").alias("f")), "h", "f", max_rate)
+                  .select(F.col("host").alias("__host"), F.col("n").alias("rows"), "n", "n_failed", "shrunk_rate", "host_ok"), "hosts")
+    keyed = judged.withColumn("__host", _host_key(F.col(host))).withColumn("__spread", F.monotonically_increasing_id())
+    return join_hot(keyed, hosts, "__host", "rows", spread="__spread").drop("__host", "__spread")
+
+
 def apply_host_rules(docs: DataFrame, text: str = "text", host: str = "source",
                      min_words: int = 50, max_rate: float = 0.5) -> DataFrame:
-    """Documents with ``rules``, the host's verdict and ``kept``; other columns stay."""
-    judged = document_rules(docs, text, min_words)
-    hosts = host_verdicts(judged.select(F.col(host).alias("h"), F.col("rules.base_failed").alias("f")),
-                          "h", "f", max_rate)
-    verdict = hosts.select(F.col("host").alias("__host"), F.struct("n", "n_failed", "shrunk_rate", "host_ok").alias("host_rules"))
-    return (
-        judged.join(verdict, F.col(host).eqNullSafe(F.col("__host")), "left").drop("__host")
-        .withColumn("kept", ~F.col("rules.base_failed") & F.col("host_rules.host_ok"))
-    )
+    """Documents with ``rules``, the host's verdict and ``kept``; other columns stay.
+
+    The rules run twice, for the hosts and for the rows, rather than write every text once more.
+    """
+    packed = docs.select(F.struct("*").alias("all"), F.col(host).alias("h"), F.col(text).cast("string").alias("t"))
+    out = _with_hosts(_judged(packed, min_words), "h", max_rate)
+    return out.select(
+        "all.*", F.col("rules").alias(free(docs, "rules")),
+        F.struct("n", "n_failed", "shrunk_rate", "host_ok").alias(free(docs, "host_rules")),
+        (~F.col("rules.base_failed") & F.col("host_ok")).alias(free(docs, "kept")))
 
 
 def op8_host_rules(spark, sf_dir):
-    from .common import stage, table
+    from .common import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     # The measures are needed twice (host aggregate, join back): they are written once, narrow.
-    judged = stage(document_rules(docs).select("doc_id", "source", "rules"), "op8")
-    hosts = host_verdicts(judged.select("source", F.col("rules.base_failed").alias("f")), "source", "f")
-    return (
-        judged.join(hosts, judged["source"].eqNullSafe(hosts["host"]), "left")
-        .select("doc_id", "rules.n_words", "rules.word_chars", "rules.n_symbols", "rules.n_dup_lines",
-                "rules.n_repeat_words", "rules.base_failed",
-                (~F.col("rules.base_failed") & F.col("host_ok")).alias("kept"))
-    )
+    judged = stage(_judged(docs, 50, "text").select("doc_id", "source", "rules"), "op8")
+    return _with_hosts(judged, "source", 0.5).select(
+        "doc_id", "rules.n_words", "rules.word_chars", "rules.n_symbols", "rules.n_dup_lines",
+        "rules.n_repeat_words", "rules.base_failed", (~F.col("rules.base_failed") & F.col("host_ok")).alias("kept"))
 
 
 OP8_SQL = r"""
