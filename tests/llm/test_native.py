@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from walletweave.llm import quality, secrets, sharding, warc
+from walletweave.llm.common import stage
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -104,18 +105,34 @@ def test_redaction(spark):
 
 
 def sharded(spark, rows):
-    slotted = sharding.with_slots(spark.createDataFrame(rows, "doc_id long, text string"))
+    slotted = stage(sharding.with_slots(spark.createDataFrame(rows, "doc_id long, text string, part string")), "rows")
     slots = sharding.slot_bytes(slotted)
     mapping = sharding.build_map(slots)
-    return sharding.place(slotted, mapping, slots).collect(), mapping, slots
+    return sharding.place(slotted, mapping).collect(), mapping, slots
+
+
+def heaviest_to_lightest(weights, n_shards):
+    """{slot: shard} by the rule: slots by falling weight, each to the lightest shard, of these the one with fewest slots; empty slots by count."""
+    load, out = [(0, 0, s) for s in range(n_shards)], {}
+    for slot, w in sorted(weights.items(), key=lambda x: (-x[1], x[0])):
+        best = min(load) if w else min(load, key=lambda x: (x[1], x[0], x[2]))
+        load[best[2]] = (best[0] + w, best[1] + 1, best[2])
+        out[slot] = best[2]
+    return out
 
 
 def test_shards(spark):
     rng = random.Random(6)
-    rows = [(i, "é" * rng.randrange(300)) for i in range(3000)] + [(None, None), (None, "x"), (5, "same"), (5, "same")]
-    got, _, _ = sharded(spark, rows)
+    rows = [(i, "é" * rng.randrange(300), "z") for i in range(3000)] + [(None, None, None), (None, "x", "y"), (5, "same", "y"), (5, "same", "y")]
+    got, mapping, slots = sharded(spark, rows)
     assert len(got) == len(rows)
-    text = {i: t for i, t in rows[:3000]}
+    text = {i: t for i, t, _ in rows[:3000]}
+    weights = {r.vslot: r.bytes for r in slots.collect()}
+    want, by_slot = heaviest_to_lightest(weights, 16), Counter()
+    for r in got:
+        by_slot[r.vslot] += r.size
+    assert set(weights) == set(range(sharding.N_SLOTS)) and {k: v for k, v in weights.items() if v} == by_slot
+    assert {r.vslot: r.shard for r in mapping.collect()} == want and all(r.shard == want[r.vslot] for r in got)
     assert all(r.size == len(text[r.doc_id].encode()) + 1 and r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) for r in got if r.doc_id is not None and r.doc_id != 5)
     load = Counter()
     for r in got:
@@ -128,11 +145,11 @@ def test_shards(spark):
 
 def test_rebalancing_edits_the_map(spark):
     rng = random.Random(8)
-    _, mapping, slots = sharded(spark, [(i, "x" * rng.randrange(100, 200)) for i in range(4000)])
+    _, mapping, slots = sharded(spark, [(i, "x" * rng.randrange(100, 200), "z") for i in range(4000)])
     grown = slots.withColumn("bytes", F.when(F.col("vslot") < 300, F.col("bytes") * 3).otherwise(F.col("bytes")))
     new = sharding.rebalance(mapping, grown, 16)
     rows = new.collect()
-    assert {r.version for r in rows} == {2} and len(rows) == slots.count()
+    assert {r.version for r in rows} == {2} and len(rows) == slots.count() == sharding.N_SLOTS
     load = Counter()
     for r in rows:
         load[r.shard] += r.bytes
@@ -143,6 +160,23 @@ def test_rebalancing_edits_the_map(spark):
     assert {r.shard for r in more} == set(range(17))
 
 
+def test_a_stored_map_places_new_records(spark, tmp_path):
+    """Slots that had no record when the map was made have a shard; versions lie side by side."""
+    _, mapping, slots = sharded(spark, [(i, f"text {i}", "z") for i in range(300)])
+    path = f"file://{tmp_path}/map"
+    sharding.save_map(mapping, path)
+    sharding.save_map(sharding.rebalance(sharding.load_map(spark, path), slots, 17), path)
+    one, two = ({r.vslot: r.shard for r in sharding.load_map(spark, path, v).collect()} for v in (1, 2))
+    assert len(one) == len(two) == sharding.N_SLOTS and set(one.values()) == set(range(16)) and set(two.values()) == set(range(17))
+    assert sum(one[v] != two[v] for v in one) < 0.12 * sharding.N_SLOTS
+    assert {r.vslot: r.shard for r in sharding.load_map(spark, path).collect()} == two
+    later = stage(sharding.with_slots(spark.createDataFrame([(10_000 + i, "later") for i in range(500)], "doc_id long, text string")), "rows")
+    placed = sharding.place(later, sharding.load_map(spark, path, 1)).collect()
+    assert len(placed) == 500 and all(r.shard == one[r.vslot] for r in placed)
+    for s in range(16):
+        assert sorted(r.slot for r in placed if r.shard == s) == list(range(sum(r.shard == s for r in placed)))
+
+
 RECORD = "record_id long, url string, ts long, kind string, status int, etag string, last_modified string, digest string, headers map<string,string>, body string"
 
 
