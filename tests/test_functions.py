@@ -84,3 +84,24 @@ def test_seed_files(spark, tmp_path):
         seeds.parse("a,b\n")
     (tmp_path / "s.csv").write_text("\n".join([HEAD, LINE]))
     assert seeds.to_frame(spark, seeds.read(spark, str(tmp_path / "s.csv"))).count() == 1
+
+
+def test_seed_rules_and_digest():
+    rows = seeds.parse("\n".join([HEAD, LINE.replace("docs", "Docs")]))
+    assert rows[0]["source_type"] == "docs" and seeds.digest(rows) == seeds.digest(seeds.parse("\n".join([HEAD, LINE])))
+    with pytest.raises(ValueError, match="zero address"):
+        seeds.parse("\n".join([HEAD, LINE.replace(rows[0]["address"], "0x" + "0" * 40)]))
+    r = rows[0]
+    text = ('[{"address":"%s","chain_id":%d,"confidence":"%s","contract_role":"%s","entity_category":"%s","entity_name":"%s","notes":"%s","source_reference":"%s","source_type":"docs"}]'
+            % (r["address"], r["chain_id"], format(r["confidence"], ".17g"), r["contract_role"] or "", r["entity_category"], r["entity_name"], r["notes"] or "", r["source_reference"]))
+    assert seeds.digest(rows) == "sha256:" + hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_names_are_case_folded(spark):
+    """As str.casefold folds them, for every letter of the Latin, Greek and Cyrillic scripts."""
+    chars = [chr(i) for i in range(0x20, 0x530) if chr(i).isalpha()] + list("ẞﬁΩ")
+    names = [f"A{c}b" for c in chars] + ["  Straße  ΣΟΦΟΣ  x ", "σοφος"]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(ids.normalize_name(F.col("n"))).collect()]
+    want = [" ".join(n.split()).casefold() for n in names]
+    odd = [(n, g, w) for n, g, w in zip(names, got, want, strict=True) if g != w]
+    assert not odd, odd

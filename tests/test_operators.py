@@ -244,3 +244,33 @@ def test_drift_metrics(spark):
     assert got["wallet_count", "all"] == 5 and got["largest_cluster_size", "all"] == 2 and got["label_count", "entity_category=dex"] == 8
     assert len([k for k in got if k[1] == "all"]) == 18
     assert digest(1).startswith("0x")
+
+
+def test_a_cluster_of_two_runs_raises(spark):
+    m = spark.createDataFrame([(1, "c", address(1), 0.8, "one"), (1, "c", address(2), 0.8, "two"), (1, "d", address(3), 0.8, "one")], MEMBER)
+    with pytest.raises(Exception, match="more than one clustering run"):
+        L.entities(S.to_frame(spark, [seed(1)]), m).collect()
+    assert L.entities(S.to_frame(spark, [seed(1)]), m.where("cluster_run_id = 'one'")).count() == 3
+
+
+def test_features_match_a_plain_loop(spark):
+    rng = random.Random(4)
+    txs = [tx(rng.randrange(1, 7), rng.randrange(1, 7), block=rng.randrange(1, 50), index=i, value=rng.choice([1, 2**200, 2**64 - 1]), h=i + 1) for i in range(200)]
+    moved = [transfer(rng.randrange(1, 7), rng.randrange(1, 7), block=rng.randrange(1, 50), log=i, h=500 + i) for i in range(100)]
+    edges = X.transfer_edges(spark.createDataFrame(txs, TX), spark.createDataFrame(moved, TRANSFER))
+    want = {}
+    for e in edges.collect():
+        for me, other, out in ((e.from_address, e.to_address, True), (e.to_address, e.from_address, False)):
+            w = want.setdefault(me, {"others": set(), "blocks": [], "n": [0, 0, 0, 0], "wei": [0, 0]})
+            w["others"].add(other)
+            w["blocks"].append(e.block_number)
+            w["n"][(0 if e.asset_type == "native" else 2) + out] += 1
+            if e.asset_type == "native":
+                w["wei"][out] += int(e.amount_raw, 16)
+    got = X.wallet_features(edges, X.first_funders(edges)).collect()
+    assert len(got) == len(want) > 4
+    for r in got:
+        w = want[r.wallet_address]
+        assert [r.incoming_native_tx_count, r.outgoing_native_tx_count, r.incoming_erc20_transfer_count, r.outgoing_erc20_transfer_count] == w["n"]
+        assert (r.first_seen_block, r.last_seen_block, r.unique_counterparties) == (min(w["blocks"]), max(w["blocks"]), len(w["others"]))
+        assert [int(r.native_received_wei, 16), int(r.native_sent_wei, 16)] == w["wei"]

@@ -41,8 +41,16 @@ def canonical_pair(a: Column, b: Column) -> tuple[Column, Column]:
 
 
 def normalize_name(name: Column) -> Column:
-    """White space collapsed, ends trimmed, lower case; the engine's form of an entity name."""
-    return F.lower(F.trim(F.regexp_replace(name, r"(?U)\s+", " ")))
+    """White space collapsed, ends trimmed, case folded; the engine's form of an entity name.
+
+    Lower case of upper case unfolds what one character alone does not (a sharp s is two). The
+    translation between the two makes every sigma one, and keeps the optimiser from dropping the
+    inner of two case changes. A capital sharp s and a dotless i, which fold by themselves, are
+    taken care of before and after.
+    """
+    clean = F.translate(F.regexp_replace(name, r"(?U)\s+", " "), "\u1e9e\u0131", "\u00df\ue000")
+    folded = F.lower(F.translate(F.upper(clean), "\u03a3", "\u03c3"))
+    return F.trim(F.translate(folded, "\ue000", "\u0131"))
 
 
 def seed_entity_id(chain: Column, name: Column) -> Column:

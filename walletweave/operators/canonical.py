@@ -96,10 +96,6 @@ def continuous(blocks: DataFrame) -> DataFrame:
     return blocks.join(below, ["chain_id", "block_number"]).where(F.lower("parent_hash") != F.lower("__below")).drop("__below")
 
 
-def head_block(current: DataFrame) -> DataFrame:
-    return first_in_group(current, ["chain_id"], [F.desc("block_number")])
-
-
 def check_heads(latest: int, safe: int, finalized: int) -> None:
     if not finalized <= safe <= latest:
         raise ValueError("heads must be ordered finalized <= safe <= latest")

@@ -67,11 +67,13 @@ def selected_seeds(seeds: DataFrame, members: DataFrame) -> DataFrame:
                           [F.desc("seed_confidence"), F.asc("wallet_address")])
 
 
-def check_snapshots(members: DataFrame) -> DataFrame:
-    """Members with the one run of their cluster; a cluster of two runs raises."""
-    w = Window.partitionBy("chain_id", "cluster_id")
-    mixed = F.min("cluster_run_id").over(w) != F.max("cluster_run_id").over(w)
-    return members.withColumn("cluster_run_id", F.when(mixed, F.raise_error(F.lit("a cluster mixes clustering snapshots")).cast("string")).otherwise(F.col("cluster_run_id")))
+def cluster_list(members: DataFrame) -> DataFrame:
+    """(chain_id, cluster_id) of each cluster; where members tell their run, a cluster of two runs raises."""
+    if "cluster_run_id" not in members.columns:
+        return members.select("chain_id", "cluster_id").distinct()
+    one = members.groupBy("chain_id", "cluster_id").agg(F.min("cluster_run_id").alias("lo"), F.max("cluster_run_id").alias("hi"))
+    mixed = F.raise_error(F.concat(F.lit("members of more than one clustering run in cluster "), "cluster_id")).cast("string")
+    return one.select("chain_id", F.when(F.col("lo") != F.col("hi"), mixed).otherwise(F.col("cluster_id")).alias("cluster_id"))
 
 
 def entities(seeds: DataFrame, members: DataFrame) -> DataFrame:
@@ -81,7 +83,7 @@ def entities(seeds: DataFrame, members: DataFrame) -> DataFrame:
     curated = named.select("chain_id", "entity_id", F.col("entity_name").alias("display_name"), "entity_category",
                            F.lit(DIRECT).alias("created_from"), none.alias("cluster_id"))
     chosen = selected_seeds(seeds, members).select("chain_id", "cluster_id", "entity_name", F.col("entity_category").alias("category"))
-    found = members.select("chain_id", "cluster_id").distinct().join(chosen, ["chain_id", "cluster_id"], "left").select(
+    found = cluster_list(members).join(chosen, ["chain_id", "cluster_id"], "left").select(
         "chain_id", cluster_entity_id(F.col("chain_id"), F.col("cluster_id")).alias("entity_id"), F.col("entity_name").alias("display_name"),
         F.coalesce("category", F.lit("unknown")).alias("entity_category"), F.lit(MEMBERSHIP).alias("created_from"), "cluster_id")
     return curated.unionByName(found)

@@ -59,25 +59,29 @@ def wallet_features(edges: DataFrame, funding: DataFrame) -> DataFrame:
     """Per wallet: range of heights, transfer counts of either asset, distinct counterparties,
     native sums, first funder.
 
-    Each edge becomes one row for either end. Counterparties are reduced to distinct pairs with
-    partial counts first, so the wide aggregate by wallet sees one row a counterparty and a hub
-    wallet is not one task's raw edges.
+    Edges are first added up per unordered pair of wallets, by direction and asset, with partial
+    sums in each task; only then does each pair become a row for either end. So amounts are cut
+    into limbs once an edge, the aggregate by wallet sees one row a counterparty, and a hub wallet
+    is not one task's raw edges.
     """
-    ends = F.array(
-        F.struct(F.col("from_address").alias("wallet"), F.col("to_address").alias("other"), F.lit(True).alias("out")),
-        F.struct(F.col("to_address").alias("wallet"), F.col("from_address").alias("other"), F.lit(False).alias("out")))
-    rows = edges.select("chain_id", "block_number", "asset_type", "amount_raw", F.explode(ends).alias("e")).select(
-        "chain_id", "e.*", "block_number", "asset_type", *[x.alias(f"l{i}") for i, x in enumerate(u256.limbs(F.col("amount_raw")))])
-    native, out = F.col("asset_type") == "native", F.col("out")
+    native, out = F.col("asset_type") == "native", F.col("from_address") < F.col("to_address")
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    part = rows.groupBy("chain_id", "wallet", "other").agg(
-        F.min("block_number").alias("lo"), F.max("block_number").alias("hi"),
-        count(native & ~out).alias("n_in"), count(native & out).alias("n_out"),
-        count(~native & ~out).alias("t_in"), count(~native & out).alias("t_out"),
-        *[F.sum(F.when(native & ~out, F.col(f"l{i}"))).alias(f"i{i}") for i in range(8)],
-        *[F.sum(F.when(native & out, F.col(f"l{i}"))).alias(f"o{i}") for i in range(8)])
-    wallets = part.groupBy("chain_id", "wallet").agg(
-        F.min("lo").alias("first_seen_block"), F.max("hi").alias("last_seen_block"),
+    limbs = [(i, F.col(f"l{i}")) for i in range(8)]
+    rows = edges.select("chain_id", "from_address", "to_address", "block_number", "asset_type", *[x.alias(f"l{i}") for i, x in enumerate(u256.limbs(F.col("amount_raw")))])
+    pairs = rows.groupBy("chain_id", F.least("from_address", "to_address").alias("lo"), F.greatest("from_address", "to_address").alias("hi")).agg(
+        F.min("block_number").alias("first"), F.max("block_number").alias("last"),
+        count(native & out).alias("n_out"), count(native & ~out).alias("n_in"), count(~native & out).alias("t_out"), count(~native & ~out).alias("t_in"),
+        *[F.sum(F.when(native & out, x)).alias(f"o{i}") for i, x in limbs], *[F.sum(F.when(native & ~out, x)).alias(f"i{i}") for i, x in limbs])
+
+    def end(wallet, swap):
+        """The pair as one end sees it; the upper end sees the directions swapped."""
+        pick = lambda a, b: [F.col(b if swap else a).alias(a)]
+        sides = [("n_out", "n_in"), ("n_in", "n_out"), ("t_out", "t_in"), ("t_in", "t_out")] + [(f"{x}{i}", f"{y}{i}") for x, y in ("oi", "io") for i in range(8)]
+        return F.struct(F.col(wallet).alias("wallet"), *[c for a, b in sides for c in pick(a, b)])
+
+    ends = pairs.select("chain_id", "first", "last", F.explode(F.array(end("lo", False), end("hi", True))).alias("e")).select("chain_id", "first", "last", "e.*")
+    wallets = ends.groupBy("chain_id", "wallet").agg(
+        F.min("first").alias("first_seen_block"), F.max("last").alias("last_seen_block"),
         F.sum("n_in").alias("incoming_native_tx_count"), F.sum("n_out").alias("outgoing_native_tx_count"),
         F.sum("t_in").alias("incoming_erc20_transfer_count"), F.sum("t_out").alias("outgoing_erc20_transfer_count"),
         F.count("*").alias("unique_counterparties"),

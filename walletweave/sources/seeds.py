@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.ids import ZERO_ADDRESS
 from ..operators.labels import TAXONOMY
 
 #: Fixed value: the exact header.
@@ -18,11 +19,6 @@ SCHEMA = ("chain_id bigint, address string, entity_name string, entity_category
           "source_reference string, confidence double, notes string")
 
 
-def entity_key(name: str) -> str:
-    """White space collapsed and case folded."""
-    return " ".join(name.split()).casefold()
-
-
 def _checked(row: dict, line: int) -> dict:
     def bad(what):
         raise ValueError(f"line {line}: {what}")
@@ -32,6 +28,8 @@ def _checked(row: dict, line: int) -> dict:
         bad("chain_id must be a positive integer")
     if not re.fullmatch("0x[0-9a-fA-F]{40}", clean["address"]):
         bad("address must be 20 hex bytes")
+    if clean["address"].lower() == ZERO_ADDRESS:
+        bad("the zero address is no wallet")
     for name in ("entity_name", "source_type", "source_reference"):
         if not clean[name]:
             bad(f"{name} must not be empty")
@@ -47,7 +45,7 @@ def _checked(row: dict, line: int) -> dict:
     if not 0.0 <= confidence <= 1.0:
         bad("confidence must be in [0,1]")
     return clean | {"chain_id": int(clean["chain_id"]), "address": clean["address"].lower(), "entity_name": " ".join(clean["entity_name"].split()),
-                    "entity_category": category, "contract_role": role, "confidence": confidence, "notes": clean["notes"] or None}
+                    "entity_category": category, "contract_role": role, "source_type": clean["source_type"].lower(), "confidence": confidence, "notes": clean["notes"] or None}
 
 
 def parse(text: str) -> list[dict]:
@@ -67,7 +65,10 @@ def parse(text: str) -> list[dict]:
 
 
 def digest(rows: list[dict]) -> str:
-    """Version of a seed list: SHA-256 of its rows as compact sorted JSON."""
+    """Version of a seed list: SHA-256 of its rows as compact sorted JSON.
+
+    Fixed: the columns of the header as keys, the confidence with 17 digits, absent values empty.
+    """
     written = {"confidence": lambda x: format(x, ".17g"), "contract_role": lambda x: x or "", "notes": lambda x: x or ""}
     same = lambda x: x
     ordered = [{c: written.get(c, same)(r[c]) for c in HEADER} for r in sorted(rows, key=lambda r: (r["chain_id"], r["address"]))]
