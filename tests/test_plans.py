@@ -80,6 +80,54 @@ def test_backfill_reorg_and_replay(spark, world):
     assert states == {"pending", "running", "completed", "failed"}
 
 
+def test_a_failed_backfill_resumes_behind_its_last_step(spark, tmp_path):
+    """Steps are bounded and checkpointed each; what was done is not done again."""
+    store, asked = Warehouse(spark, f"file://{tmp_path}/w"), []
+    chain = {n: block(n, 1000 + n, 999 + n, [(9, n, 5)], [(n, 2, 6)]) for n in range(1, 8)}
+    node = Node(spark, chain, safe=1, finalized=1)
+
+    def capture(start, end):
+        asked.append((start, end))
+        if start <= 6 <= end and len(asked) < 4:
+            raise ConnectionError("gone")
+        return node.capture(start, end)
+
+    backfill = runs.Ingestion(store, 1, capture, node.heads, step=2)
+    with pytest.raises(ConnectionError):
+        backfill.run(1, 7)
+    assert asked == [(1, 2), (3, 4), (5, 6)] and store.checkpoint(runs.JOB, 1)["last_processed_block"] == 4
+    assert store.current_canonical_blocks().count() == 4
+    done = backfill.run(1, 7)
+    assert asked[3:] == [(4, 4), (5, 6), (7, 7)] and store.current_canonical_blocks().count() == 7
+    assert {k: v for k, v in done.items() if k != "run_id"} == {
+        "chain_id": 1, "range": "1-7", "blocks_processed": 3, "transactions_inserted": 3, "transfers_decoded": 3, "reorgs_detected": 0, "final_checkpoint": f"7:{digest(1007)}"}
+    assert runs.summary(done).splitlines()[1:3] == ["chain_id=1", "range=1-7"]
+    assert store.canonical_transactions().count() == 7 and store.read("pipeline_runs").where("status = 'failed'").count() == 1
+    node.blocks[8] = block(8, 3008, 3007)
+    node.blocks |= {n: block(n, 3000 + n, 2999 + n if n > 6 else 1005, [(9, n, 8)]) for n in (6, 7)}
+    node.blocks[8] = block(8, 3008, 3007, [(9, 8, 8)])
+    fork = runs.Ingestion(store, 1, node.capture, node.heads, step=1).run(1, 8)
+    assert (fork["reorgs_detected"], fork["blocks_processed"], fork["final_checkpoint"]) == (1, 1, f"8:{digest(3008)}")
+    with pytest.raises(ValueError, match="was not captured"):
+        runs.Ingestion(store, 1, node.capture, node.heads).run(9, 9)
+    with pytest.raises(ValueError):
+        runs.Ingestion(store, 1, node.capture, node.heads, step=0)
+
+
+def test_tables_are_made_and_dropped(spark, tmp_path):
+    store = Warehouse(spark, f"file://{tmp_path}/w")
+    for _ in range(2):
+        store.create("made")
+    assert {t.name for t in spark.catalog.listTables("made")} == set(S.TABLES) and store.read("entities").count() == 0
+    store.append_rows("entities", [{"chain_id": 1, "entity_id": "e", "run_id": "r"}])
+    store.create("made")
+    assert spark.sql("SELECT count(*) FROM made.entities WHERE chain_id = 1").first()[0] == 1
+    for _ in range(2):
+        store.drop("made")
+    assert not spark.catalog.listTables("made") and not (tmp_path / "w" / "entities").exists()
+    spark.sql("DROP DATABASE made")
+
+
 def test_snapshots_and_reads(spark, world):
     store, _, _ = world
     with pytest.raises(ValueError):

@@ -109,11 +109,7 @@ class Api:
     def wallet(self, address: str, chain: int = DEFAULT_CHAIN, cluster_run: str | None = None, label_run: str | None = None) -> DataFrame:
         """One row: features, cluster, entity and labels of a wallet, null where there are none."""
         address = normalize_address(address)
-        if cluster_run is not None and label_run is not None:
-            self.snapshot("cluster", chain, cluster_run)
-            linked = self.snapshot("label", chain, label_run)["cluster_run_id"]
-            if linked is not None and linked != cluster_run:
-                raise ApiError("label run is incompatible with the selected cluster run")
+        self.check_runs(chain, cluster_run, label_run)
         one = self.store.spark.createDataFrame([(chain, address)], "chain_id bigint, address string")
         whole = lambda df, name: df.limit(1).select(F.struct("*").alias(name))
         labels = self.labels("address", address, chain, label_run).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("labels"))
@@ -123,6 +119,14 @@ class Api:
             out = out.join(F.broadcast(df), F.lit(True), "left")  # at most one row
         return out
 
+    def check_runs(self, chain: int, cluster_run: str | None, label_run: str | None) -> None:
+        """Two chosen runs must belong together."""
+        if cluster_run is not None and label_run is not None:
+            self.snapshot("cluster", chain, cluster_run)
+            linked = self.snapshot("label", chain, label_run)["cluster_run_id"]
+            if linked is not None and linked != cluster_run:
+                raise ApiError("the label run was made from another cluster run than the one chosen")
+
     def features(self, address: str, chain: int = DEFAULT_CHAIN, run: str | None = None) -> DataFrame:
         rows = self._of("cluster", "wallet_features", chain, run).where(F.col("wallet_address") == normalize_address(address))
         return rows.withColumns({c: u256.to_decimal(F.col(c)) for c in ("native_received_wei", "native_sent_wei")})
@@ -197,4 +201,4 @@ class Api:
         return 200, {"status": "ok"}
 
     def readiness(self) -> tuple[int, dict]:
-        return (200, {"status": "ready"}) if self.store.healthy() else (503, {"status": "unavailable"})
+        return (200, {"status": "ok"}) if self.store.healthy() else (503, {"detail": "the engine does not answer"})

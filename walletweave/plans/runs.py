@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scores import security_of, stored_float
-from ..functions.staging import stage
+from ..functions.staging import drop_stage, stage
 from ..operators import canonical as C
 from ..operators import evaluation as E
 from ..operators import labels as L
@@ -29,6 +29,8 @@ from .store import Warehouse
 
 JOB = "block_ingestion"
 ERROR_LIMIT = 4000
+#: Heights a step of a backfill.
+STEP = 1000
 
 
 def now() -> datetime:
@@ -56,28 +58,37 @@ def run_states(store: Warehouse, table: str, row: dict, first: int, failed_versi
 
 
 class Ingestion:
-    """Backfill of a height range.
+    """Backfill of a height range, in steps of at most ``step`` heights.
 
     capture(start, end) gives (chain_id, height, block, receipts, ingested_at) rows, from the RPC
     data source or from files; heads() gives the latest, safe and finalized heights; chain() the
-    node's chain id. The batch is decoded on the executors; only heights and one block's hash
-    reach the driver.
+    node's chain id. A step is captured and decoded on the executors, made canonical and
+    checkpointed before the next begins, so a run that fails resumes behind its last whole step;
+    only heights, counts and one block's hash reach the driver.
     """
 
     def __init__(self, store: Warehouse, chain_id: int, capture: Callable[[int, int], DataFrame], heads: Callable[[], dict],
-                 chain: Callable[[], int] | None = None, max_depth: int = C.MAX_REORG_DEPTH):
-        self.store, self.chain_id, self.capture, self.heads, self.chain, self.max_depth = store, chain_id, capture, heads, chain, max_depth
+                 chain: Callable[[], int] | None = None, max_depth: int = C.MAX_REORG_DEPTH, step: int = STEP):
+        if step < 1:
+            raise ValueError("a step has at least one height")
+        self.store, self.chain_id, self.capture, self.heads, self.chain, self.max_depth, self.step = store, chain_id, capture, heads, chain, max_depth, step
+        self.done = {"blocks_processed": 0, "transactions_inserted": 0, "transfers_decoded": 0, "reorgs_detected": 0}
 
     def _current(self) -> DataFrame:
         return C.current_blocks(self.store.read("canonical_blocks").where(F.col("chain_id") == self.chain_id))
 
     def _write_facts(self, rows: DataFrame) -> DataFrame:
-        rows = decode.parsed(stage(rows, "captured"))
-        blocks = decode.raw_blocks(rows)
-        self.store.append("raw_blocks", blocks)
-        self.store.append("raw_transactions", decode.raw_transactions(rows))
-        self.store.append("token_transfers", decode.token_transfers(rows))
-        return stage(blocks, "blocks")
+        captured = stage(rows, "captured")
+        rows = decode.parsed(captured)
+        facts = {"raw_blocks": stage(decode.raw_blocks(rows), "blocks"), "raw_transactions": stage(decode.raw_transactions(rows), "transactions"),
+                 "token_transfers": stage(decode.token_transfers(rows), "transfers")}
+        for name, df in facts.items():
+            self.store.append(name, df)
+        self.done["transactions_inserted"] += facts["raw_transactions"].count()
+        self.done["transfers_decoded"] += facts["token_transfers"].count()
+        for df in (captured, facts["raw_transactions"], facts["token_transfers"]):
+            drop_stage(df)
+        return facts["raw_blocks"]
 
     def _set_canonical(self, blocks: DataFrame, reason: str, heads: dict, at: datetime) -> None:
         level = security_of(F.col("block_number"), F.lit(heads["safe"]), F.lit(heads["finalized"]))
@@ -109,6 +120,7 @@ class Ingestion:
         low = max(0, min(old_head, new_head) - self.max_depth)
         remote = decode.raw_blocks(decode.parsed(stage(self.capture(low, new_head), "remote")))
         plan = stage(C.reorg_plan(remote, current, self.max_depth), "plan")
+        self.done["reorgs_detected"] += 1
         first = plan.where(F.col("reason") == C.REPLACEMENT).agg(F.min("block_number")).first()[0]
         at = now()
         if first is not None:
@@ -129,7 +141,8 @@ class Ingestion:
     def run(self, start: int, end: int) -> dict:
         if not 0 <= start <= end:
             raise ValueError("backfill requires 0 <= from-block <= to-block")
-        store, reorgs, processed = self.store, 0, 0
+        store = self.store
+        self.done = dict.fromkeys(self.done, 0)
         row = {"run_id": str(uuid.uuid4()), "job_name": JOB, "chain_id": self.chain_id, "mode": "backfill", "start_block": start, "end_block": end, "started_at": now()}
         with run_states(store, "pipeline_runs", row, 1, 3, lambda: None):
             if self.chain is not None and self.chain() != self.chain_id:
@@ -144,22 +157,29 @@ class Ingestion:
                 if seen["block_hash"] != at["last_processed_block_hash"]:
                     self._recover(height, heads)
                     self._checkpoint(height, seen["block_hash"])
-                    reorgs += 1
                 begin = max(start, height + 1)
-            if begin <= end:
-                blocks = self._write_facts(self.capture(begin, end))
-                if (broken := C.continuous(blocks).first()) is not None:
-                    raise ValueError(f"block {broken['block_number']} does not follow the block below it")
-                if C.reorg_conflicts(blocks, self._current()).first() is not None:
-                    self._recover(end, heads)
-                    reorgs += 1
-                else:
-                    self._set_canonical(blocks, C.OBSERVED, heads, now())
-                last = blocks.where(F.col("block_number") == end).first()
-                self._checkpoint(end, last["block_hash"])
-                processed = end - begin + 1
+            for low in range(begin, end + 1, self.step):
+                self._step(low, min(end, low + self.step - 1), heads)
             self.refresh_finality(start, end, heads)
-        return {"run_id": row["run_id"], "blocks_processed": processed, "reorgs_detected": reorgs, "checkpoint": store.checkpoint(JOB, self.chain_id)}
+        at = store.checkpoint(JOB, self.chain_id)
+        last = f"{at['last_processed_block']}:{at['last_processed_block_hash']}" if at else "none"
+        return {"run_id": row["run_id"], "chain_id": self.chain_id, "range": f"{start}-{end}"} | self.done | {"final_checkpoint": last}
+
+    def _step(self, low: int, high: int, heads: dict) -> None:
+        """Capture, write and make canonical the heights of one step, then its checkpoint."""
+        blocks = self._write_facts(self.capture(low, high))
+        if (broken := C.continuous(blocks).first()) is not None:
+            raise ValueError(f"block {broken['block_number']} does not follow the block below it")
+        last = blocks.where(F.col("block_number") == high).first()
+        if last is None:
+            raise ValueError(f"block {high} was not captured")
+        if C.reorg_conflicts(blocks, self._current()).first() is not None:
+            self._recover(high, heads)
+        else:
+            self._set_canonical(blocks, C.OBSERVED, heads, now())
+        self._checkpoint(high, last["block_hash"])
+        self.done["blocks_processed"] += high - low + 1
+        drop_stage(blocks)
 
 
 # Clustering --------------------------------------------------------------------------------------
@@ -176,7 +196,7 @@ def derive_snapshot(transactions: DataFrame, transfers: DataFrame, window: int,
             "wallet_clusters": stage(members, "members")}
 
 
-def _snapshot_sink(store: Warehouse, tables: dict[str, DataFrame], run_id: str, **more) -> None:
+def snapshot_sink(store: Warehouse, tables: dict[str, DataFrame], run_id: str, **more) -> None:
     at = now()
     for name, df in tables.items():
         store.append(name, df.withColumns({"run_id": F.lit(run_id), "derived_at": F.lit(at)} | {k: F.lit(v) for k, v in more.items()}))
@@ -221,7 +241,7 @@ def cluster(store: Warehouse, chain_id: int, start: int, end: int, window: int =
                   "cluster_count": tables["wallet_clusters"].select("cluster_id").distinct().count()}
         if versions() != before:
             raise RuntimeError("canonical block state changed during clustering; rerun the range")
-        _snapshot_sink(store, tables, row["run_id"])
+        snapshot_sink(store, tables, row["run_id"])
         row |= counts
     return row
 
@@ -238,6 +258,24 @@ def completed_run(store: Warehouse, table: str, run_id: str, chain_id: int) -> d
     return row
 
 
+def label_tables(frame: DataFrame, members: DataFrame, factor: float = L.PROPAGATION_FACTOR) -> dict[str, DataFrame]:
+    """The five label tables, staged."""
+    tables = {"entities": L.entities(frame, members), "entity_members": L.entity_members(frame, members),
+              "label_assignments": L.assignments(frame, members, factor), "label_evidence": L.label_evidence(frame, members, factor),
+              "label_conflicts": L.conflicts(frame, members)}
+    return {k: stage(v, k) for k, v in tables.items()}
+
+
+def label_sink(store: Warehouse, tables: dict[str, DataFrame], run_id: str, cluster_run: str | None) -> None:
+    """Append the label tables; rows that come from a cluster name its run."""
+    for name, df in tables.items():
+        if name == "label_conflicts":
+            df = df.withColumn("cluster_run_id", F.lit(cluster_run))
+        elif name in ("entities", "entity_members"):
+            df = df.withColumn("cluster_run_id", F.when(F.col("cluster_id").isNotNull(), F.lit(cluster_run)))
+        snapshot_sink(store, {name: df}, run_id)
+
+
 def label(store: Warehouse, chain_id: int, seeds: list[dict], cluster_run: str | None = None, taxonomy: str = L.TAXONOMY_VERSION,
           factor: float = L.PROPAGATION_FACTOR, resume: str | None = None) -> dict:
     """One label snapshot from curated seeds and, if given, a completed clustering run."""
@@ -263,16 +301,9 @@ def label(store: Warehouse, chain_id: int, seeds: list[dict], cluster_run: str |
         if cluster_run:
             completed_run(store, "cluster_runs", cluster_run, chain_id)
         members = store.read("wallet_clusters").where((F.col("chain_id") == chain_id) & (F.col("run_id") == cluster_run)).withColumn(
-            "confidence", F.col("confidence").cast("double"))
-        frame = seed_source.to_frame(store.spark, own)
-        tables = {"entities": L.entities(frame, members), "entity_members": L.entity_members(frame, members),
-                  "label_assignments": L.assignments(frame, members, factor), "label_evidence": L.label_evidence(frame, members, factor),
-                  "label_conflicts": L.conflicts(frame, members)}
-        tables = {k: stage(v, k) for k, v in tables.items()}
-        from_cluster = {"entities", "entity_members"}
-        for name, df in tables.items():
-            run = F.lit(cluster_run) if name == "label_conflicts" else F.when(F.col("cluster_id").isNotNull(), F.lit(cluster_run)) if name in from_cluster else None
-            _snapshot_sink(store, {name: df.withColumn("cluster_run_id", run) if run is not None else df}, row["run_id"])
+            "confidence", F.col("confidence").cast("double")).withColumnRenamed("run_id", "cluster_run_id")
+        tables = label_tables(seed_source.to_frame(store.spark, own), members, factor)
+        label_sink(store, tables, row["run_id"], cluster_run)
         by = {r[0]: r[1] for r in tables["label_assignments"].groupBy("assignment_method").count().collect()}  # two methods
         row |= {"entity_count": tables["entities"].count(), "direct_label_count": by.get(L.DIRECT, 0), "propagated_label_count": by.get(L.PROPAGATED, 0),
                 "conflict_count": tables["label_conflicts"].count()}
@@ -303,7 +334,7 @@ def evaluate(store: Warehouse, chain_id: int, cluster_run: str, label_run: str,
                                                                      F.col("assignment_method").alias("method"), F.col("label_value").alias("value"))
         drift = E.drift_metrics(c, members, lab["entity_count"], found, of("label_conflicts", label_run).count(), frame, seen)
         compared = stage(E.compare_drift(drift, previous_metrics(store, row)), "drift")
-        _snapshot_sink(store, {
+        snapshot_sink(store, {
             "label_evaluations": E.evaluate_labels(E.truth_labels(frame), predictions).withColumn("chain_id", F.lit(chain_id)),
             "clustering_evaluations": E.evaluate_clustering(frame.select("address", F.col("entity_name").alias("entity")), seen,
                                                             members.select(F.col("wallet_address").alias("address"), "cluster_id")).withColumn("chain_id", F.lit(chain_id)),

@@ -37,6 +37,35 @@ class Warehouse:
     def schema(name: str) -> T.StructType:
         return T.StructType.fromDDL(S.TABLES[name].columns)
 
+    def create(self, database: str | None = None) -> list[str]:
+        """Make the folders of all tables and, for a database name, its tables and views in the catalog.
+
+        What is there stays as it is, so this may run any number of times. Returns the statements.
+        """
+        for name in S.TABLES:
+            self._fs.mkdirs(self._path(name))
+        if database is None:
+            return []
+        run = [f"CREATE DATABASE IF NOT EXISTS {database}", *(self.ddl(name, database) for name in S.TABLES)]
+        for statement in run:
+            self.spark.sql(statement)
+        for name, table in S.TABLES.items():
+            if table.partition:
+                self.spark.catalog.recoverPartitions(f"{database}.{name}")
+        return run
+
+    def ddl(self, name: str, database: str) -> str:
+        table = S.TABLES[name]
+        split = f" PARTITIONED BY ({', '.join(table.partition)})" if table.partition else ""
+        return f"CREATE TABLE IF NOT EXISTS {database}.{name} ({table.columns}) USING parquet{split} LOCATION '{self.root}/{name}'"
+
+    def drop(self, database: str | None = None) -> None:
+        """Delete the tables' folders and, for a database name, its tables; what is not there is no error."""
+        for name in S.TABLES:
+            if database is not None:
+                self.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            self._fs.delete(self._path(name), True)
+
     def read(self, name: str) -> DataFrame:
         schema = self.schema(name)
         if not self._fs.exists(self._path(name)):
