@@ -6,6 +6,8 @@ customer, lines of shipped orders also move a token. Every query runs over its w
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from ..operators import resolution as R
 from ..operators import state as ST
 from ..operators import transfers as X
 from ..sources import decode
+from ..sources import seeds as seed_source
 from . import api
 
 DAYS30, FANOUT = 30 * 86400, 20
@@ -52,55 +55,93 @@ def cents(c):
     return F.round(F.col(c) * 100).cast("long")
 
 
-def lines(spark, sf_dir) -> DataFrame:
-    return ST.first_in_group(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], [F.desc(c) for c in LINE_ORDER])
-
-
-def facts(spark, sf_dir) -> DataFrame:
-    rows = lines(spark, sf_dir).join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.select(
-        F.lit(1).cast("long").alias("chain_id"), F.col("o_orderkey").alias("block_number"),
-        F.concat(F.lit("0x"), F.sha2(F.col("o_orderkey").cast("string"), 256)).alias("block_hash"), F.col("o_orderdate").alias("block_timestamp"),
-        F.concat(F.lit("0x"), F.sha2(F.concat_ws(":", "o_orderkey", "l_linenumber"), 256)).alias("tx_hash"), F.col("l_linenumber").cast("long").alias("tx_index"),
-        wallet(F.col("l_suppkey") + SUPPLIER).alias("supplier"), wallet(F.col("o_custkey")).alias("customer"), wallet(F.col("l_partkey") + PART).alias("part"),
-        F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).alias("status"),
-        cents("l_quantity").alias("quantity"), cents("l_extendedprice").alias("price"), "l_linestatus")
-
-
-def transactions(spark, sf_dir) -> DataFrame:
-    return facts(spark, sf_dir).select("chain_id", "block_number", "block_hash", "block_timestamp", "tx_hash", "tx_index", F.col("supplier").alias("from_address"),
-                                       F.col("customer").alias("to_address"), u256.from_long(F.col("quantity")).alias("value_wei"), "status")
-
-
-def transfers(spark, sf_dir) -> DataFrame:
-    return facts(spark, sf_dir).where("l_linestatus = 'F'").select(
-        "chain_id", "block_number", "block_hash", "block_timestamp", "tx_hash", (F.col("tx_index") + 100).alias("log_index"), F.col("part").alias("token_address"),
-        F.col("customer").alias("from_address"), F.col("supplier").alias("to_address"), u256.from_long(F.col("price")).alias("amount_raw"))
-
-
-def edges(spark, sf_dir) -> DataFrame:
-    return X.transfer_edges(transactions(spark, sf_dir), transfers(spark, sf_dir))
-
-
-def funding(spark, sf_dir) -> DataFrame:
-    """First funders, staged: every plan below reads them more than once."""
-    return stage(X.first_funders(X.native_edges(transactions(spark, sf_dir))), "funding")
-
-
-def members(spark, sf_dir) -> DataFrame:
-    f = funding(spark, sf_dir)
-    return stage(R.clusters(R.island_components(f, DAYS30, FANOUT), R.shared_funder_pairs(f, DAYS30, FANOUT)), "members")
-
-
-def seeds(spark, sf_dir) -> DataFrame:
-    """Curated labels: customers in debt, an entity for each segment and nation."""
-    category = F.create_map(*[F.lit(x) for pair in SEGMENTS for x in pair])[F.col("c_mktsegment")]
-    return table(spark, sf_dir, "customer").where("c_acctbal < 0").select(
-        F.lit(1).cast("long").alias("chain_id"), wallet(F.col("c_custkey")).alias("address"),
-        F.concat_ws(" ", "c_mktsegment", F.col("c_nationkey").cast("string")).alias("entity_name"), category.alias("entity_category"),
-        F.when(F.col("c_acctbal") < -500, "hot_wallet").alias("contract_role"), F.lit("curated").alias("source_type"),
-        F.concat(F.lit("customer "), F.col("c_custkey")).alias("source_reference"),
-        ((F.pmod("c_custkey", F.lit(50)) + 50) / 100.0).alias("confidence"), F.lit("").alias("notes"))
+class Star:
+    """The plans over the tables of one call; what several of them read is built once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return ST.first_in_group(self.table("lineitem"), ["l_orderkey", "l_linenumber"], [F.desc(c) for c in LINE_ORDER])
+
+    @cached_property
+    def plain_facts(self) -> DataFrame:
+        rows = self.lines.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return rows.select(
+            F.lit(1).cast("long").alias("chain_id"), F.col("o_orderkey").alias("block_number"),
+            F.concat(F.lit("0x"), F.sha2(F.col("o_orderkey").cast("string"), 256)).alias("block_hash"), F.col("o_orderdate").alias("block_timestamp"),
+            F.concat(F.lit("0x"), F.sha2(F.concat_ws(":", "o_orderkey", "l_linenumber"), 256)).alias("tx_hash"), F.col("l_linenumber").cast("long").alias("tx_index"),
+            wallet(F.col("l_suppkey") + SUPPLIER).alias("supplier"), wallet(F.col("o_custkey")).alias("customer"), wallet(F.col("l_partkey") + PART).alias("part"),
+            F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).alias("status"),
+            cents("l_quantity").alias("quantity"), cents("l_extendedprice").alias("price"), "l_linestatus", "o_orderstatus")
+
+    @cached_property
+    def shared_facts(self) -> DataFrame:
+        return stage(self.plain_facts, "facts")
+
+    @property
+    def facts(self) -> DataFrame:
+        """The staged facts where a plan of this call has needed them twice, else the plan."""
+        return self.__dict__.get("shared_facts", self.plain_facts)
+
+    def transactions(self) -> DataFrame:
+        return self.facts.select("chain_id", "block_number", "block_hash", "block_timestamp", "tx_hash", "tx_index", F.col("supplier").alias("from_address"),
+                                 F.col("customer").alias("to_address"), u256.from_long(F.col("quantity")).alias("value_wei"), "status")
+
+    def transfers(self) -> DataFrame:
+        return self.facts.where("l_linestatus = 'F'").select(
+            "chain_id", "block_number", "block_hash", "block_timestamp", "tx_hash", (F.col("tx_index") + 100).alias("log_index"), F.col("part").alias("token_address"),
+            F.col("customer").alias("from_address"), F.col("supplier").alias("to_address"), u256.from_long(F.col("price")).alias("amount_raw"))
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        self.shared_facts  # noqa: B018 - both kinds of edge read them
+        return X.transfer_edges(self.transactions(), self.transfers())
+
+    @cached_property
+    def funding(self) -> DataFrame:
+        """First funders, staged: every plan on them reads them more than once."""
+        return stage(X.first_funders(X.native_edges(self.transactions())), "funding")
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return R.shared_funder_pairs(self.funding, DAYS30, FANOUT)
+
+    @cached_property
+    def members(self) -> DataFrame:
+        return stage(R.clusters(R.island_components(self.funding, DAYS30, FANOUT), self.pairs), "members")
+
+    @cached_property
+    def stored(self) -> DataFrame:
+        return R.stored_clusters(self.members)
+
+    @cached_property
+    def seeds(self) -> DataFrame:
+        """Curated labels: customers in debt, an entity for each segment and nation."""
+        category = F.create_map(*[F.lit(x) for pair in SEGMENTS for x in pair])[F.col("c_mktsegment")]
+        return self.table("customer").where("c_acctbal < 0").select(
+            F.lit(1).cast("long").alias("chain_id"), wallet(F.col("c_custkey")).alias("address"),
+            F.concat_ws(" ", "c_mktsegment", F.col("c_nationkey").cast("string")).alias("entity_name"), category.alias("entity_category"),
+            F.when(F.col("c_acctbal") < -500, "hot_wallet").alias("contract_role"), F.lit("curated").alias("source_type"),
+            F.concat(F.lit("customer "), F.col("c_custkey")).alias("source_reference"),
+            ((F.pmod("c_custkey", F.lit(50)) + 50) / 100.0).alias("confidence"), F.lit("").alias("notes"))
+
+    @cached_property
+    def assignments(self) -> DataFrame:
+        return stage(L.assignments(self.seeds, self.stored), "assignments")
+
+    def predictions(self) -> DataFrame:
+        return self.assignments.where("subject_type = 'address'").select(
+            F.col("subject_id").alias("subject"), F.col("label_dimension").alias("dimension"), F.col("assignment_method").alias("method"), F.col("label_value").alias("value"))
+
+    def drift(self) -> DataFrame:
+        """The snapshot's metrics; fixed run counts and conflict count stand for the run row."""
+        seen = self.funding.select(F.col("funded_address").alias("address"))
+        return E.drift_metrics({"wallet_count": 100, "resolution_edge_count": 50}, self.stored, 7, self.assignments, 3, self.seeds, seen)
 
 
 SEGMENTS = (("AUTOMOBILE", "dex"), ("BUILDING", "exchange"), ("FURNITURE", "bridge"), ("HOUSEHOLD", "protocol"), ("MACHINERY", "token_issuer"))
@@ -209,7 +250,7 @@ def with_(sql: str, *names: str) -> str:
 
 @query(with_("SELECT * EXCLUDE (rn) FROM ln", "ln"))
 def dedupe_latest(spark, sf_dir):
-    return lines(spark, sf_dir)
+    return Star(spark, sf_dir).lines
 
 
 @query("""SELECT user_id, s.event_type AS event_type, s.value AS value, s.ts AS ts, s.props AS props, v AS event_id
@@ -348,24 +389,28 @@ def history_sequences(spark, sf_dir):
 
 @query(with_(f"SELECT * EXCLUDE (amount), {hex64('amount')} AS amount_raw FROM edge", "edge"))
 def transfer_edges(spark, sf_dir):
-    return edges(spark, sf_dir)
+    return Star(spark, sf_dir).edges
 
 
 @query(with_(f"""SELECT chain_id, to_address AS funded_address, from_address AS funder_address, tx_hash AS funding_tx_hash, block_number AS funding_block_number, block_hash AS funding_block_hash,
   block_timestamp AS funding_timestamp, {hex64('amount')} AS amount_wei, 'first_native_funder' AS heuristic, 0.7::DOUBLE AS confidence FROM fund""", "fund"))
 def first_funder(spark, sf_dir):
-    return funding(spark, sf_dir)
+    return Star(spark, sf_dir).funding
 
 
-@query(with_(f""", e AS (SELECT chain_id, from_address AS w, to_address AS o, true AS sent, * FROM edge UNION ALL SELECT chain_id, to_address, from_address, false, * FROM edge)
+FEATURES = f""", e AS (SELECT chain_id, from_address AS w, to_address AS o, true AS sent, * FROM edge UNION ALL SELECT chain_id, to_address, from_address, false, * FROM edge)
   SELECT e.chain_id, w AS wallet_address, min(e.block_number) AS first_seen_block, max(e.block_number) AS last_seen_block,
     count(*) FILTER (asset_type = 'native' AND NOT sent) AS incoming_native_tx_count, count(*) FILTER (asset_type = 'native' AND sent) AS outgoing_native_tx_count,
     count(*) FILTER (asset_type <> 'native' AND NOT sent) AS incoming_erc20_transfer_count, count(*) FILTER (asset_type <> 'native' AND sent) AS outgoing_erc20_transfer_count,
     count(DISTINCT o) AS unique_counterparties, {hex64("coalesce(sum(amount) FILTER (asset_type = 'native' AND NOT sent), 0)")} AS native_received_wei,
     {hex64("coalesce(sum(amount) FILTER (asset_type = 'native' AND sent), 0)")} AS native_sent_wei, any_value(f.from_address) AS first_funder_address, any_value(f.block_number) AS first_funding_block
-  FROM e LEFT JOIN (SELECT to_address AS ft, from_address, block_number FROM fund) f ON f.ft = w GROUP BY 1, 2""", "edge", "fund"))
+  FROM e LEFT JOIN (SELECT to_address AS ft, from_address, block_number FROM fund) f ON f.ft = w GROUP BY 1, 2"""
+
+
+@query(with_(FEATURES, "edge", "fund"))
 def wallet_features(spark, sf_dir):
-    return X.wallet_features(edges(spark, sf_dir), funding(spark, sf_dir))
+    star = Star(spark, sf_dir)
+    return X.wallet_features(star.edges, star.funding)
 
 
 PAIR_COLUMNS = "chain_id, wallet_a, wallet_b, 'shared_funder' AS heuristic, score, CAST(3 AS INTEGER) AS evidence_count, edge_id, funder_address, delta AS delta_seconds, fanout"
@@ -373,34 +418,37 @@ PAIR_COLUMNS = "chain_id, wallet_a, wallet_b, 'shared_funder' AS heuristic, scor
 
 @query(with_(f"SELECT {PAIR_COLUMNS} FROM pair", "pair"))
 def shared_funder_pairs(spark, sf_dir):
-    return R.shared_funder_pairs(funding(spark, sf_dir), DAYS30, FANOUT)
+    return Star(spark, sf_dir).pairs
 
 
-@query(with_(f"""SELECT chain_id, wallet_a, wallet_b, 'shared_funder' AS heuristic, 'same_first_funder' AS evidence_type, funder_address AS evidence_value, 0.60::DOUBLE AS weight, 0.60::DOUBLE AS score_contribution FROM pair
+EVIDENCE = f"""SELECT chain_id, wallet_a, wallet_b, 'shared_funder' AS heuristic, 'same_first_funder' AS evidence_type, funder_address AS evidence_value, 0.60::DOUBLE AS weight, 0.60::DOUBLE AS score_contribution FROM pair
   UNION ALL SELECT chain_id, wallet_a, wallet_b, 'shared_funder', 'funding_time_delta_seconds', CAST(delta AS VARCHAR), 0.25, 0.25 * greatest(0.0, 1.0 - delta / {DAYS30}.0::DOUBLE) FROM pair
-  UNION ALL SELECT chain_id, wallet_a, wallet_b, 'shared_funder', 'funder_fanout', CAST(fanout AS VARCHAR), 0.15, 0.15 * greatest(0.0, 1.0 - (fanout - 2) / {FANOUT - 2}.0::DOUBLE) FROM pair""", "pair"))
+  UNION ALL SELECT chain_id, wallet_a, wallet_b, 'shared_funder', 'funder_fanout', CAST(fanout AS VARCHAR), 0.15, 0.15 * greatest(0.0, 1.0 - (fanout - 2) / {FANOUT - 2}.0::DOUBLE) FROM pair"""
+
+
+@query(with_(EVIDENCE, "pair"))
 def resolution_evidence(spark, sf_dir):
-    return R.resolution_evidence(R.shared_funder_pairs(funding(spark, sf_dir), DAYS30, FANOUT), DAYS30, FANOUT)
+    return R.resolution_evidence(Star(spark, sf_dir).pairs, DAYS30, FANOUT)
 
 
 @query(with_("SELECT CAST(1 AS BIGINT) AS chain_id, wallet, root FROM comp", "comp"))
 def components(spark, sf_dir):
-    return R.island_components(funding(spark, sf_dir), DAYS30, FANOUT)
+    return R.island_components(Star(spark, sf_dir).funding, DAYS30, FANOUT)
 
 
 @query(with_("SELECT CAST(1 AS BIGINT) AS chain_id, wallet, root FROM comp", "comp"))
 def components_iterative(spark, sf_dir):
-    return R.edge_components(R.shared_funder_pairs(funding(spark, sf_dir), DAYS30, FANOUT))
+    return R.edge_components(Star(spark, sf_dir).pairs)
 
 
 @query(with_("SELECT *, 'shared_funder_v1' AS heuristic_version FROM clus", "clus"))
 def clusters(spark, sf_dir):
-    return members(spark, sf_dir)
+    return Star(spark, sf_dir).members
 
 
 @query(with_("SELECT from_address AS funder_address, count(DISTINCT to_address) AS funded FROM fund GROUP BY 1 ORDER BY funded DESC, funder_address LIMIT 20", "fund"))
 def top_funders(spark, sf_dir):
-    return funding(spark, sf_dir).groupBy("funder_address").agg(F.countDistinct("funded_address").alias("funded")).orderBy(F.desc("funded"), "funder_address").limit(20)
+    return Star(spark, sf_dir).funding.groupBy("funder_address").agg(F.countDistinct("funded_address").alias("funded")).orderBy(F.desc("funded"), "funder_address").limit(20)
 
 
 @query("""SELECT l_returnflag, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS VARCHAR) AS total, lower(lpad(to_hex(CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT)), 64, '0')) AS total_hex
@@ -414,7 +462,7 @@ def u256_sum(spark, sf_dir):
   FROM fact WHERE l_linestatus = 'F' AND status IS NOT NULL""", "fact"))
 def decode_transfers(spark, sf_dir):
     pad = lambda c: F.concat(F.lit("0x" + "0" * 24), F.upper(F.substring(c, 3, 40)))
-    f = facts(spark, sf_dir)
+    f = Star(spark, sf_dir).facts
     log = F.struct(F.upper(F.col("part")).alias("address"), F.array(F.upper(F.lit(decode.TRANSFER_TOPIC)), pad("customer"), pad("supplier")).alias("topics"),
                    F.concat(F.lit("0x"), u256.from_long(F.col("price"))).alias("data"), F.concat(F.lit("0x"), F.hex(F.col("tx_index") + 100)).alias("logIndex"),
                    F.col("status").isNull().alias("removed"))
@@ -423,6 +471,59 @@ def decode_transfers(spark, sf_dir):
     return logs.select("tx_hash", decode.decoded_transfer(F.col("log")).alias("x")).where("x IS NOT NULL").select("tx_hash", "x.*")
 
 
+def captured(star: Star) -> DataFrame:
+    """Blocks and receipts as a node tells them: JSON with hex quantities, an order a block."""
+    h = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c)))
+    # a sent transaction's status is 1, a failed one's 0; a null status is left out of the receipt
+    tx = F.struct(F.col("tx_hash").alias("hash"), h(F.col("tx_index")).alias("transactionIndex"),
+                  F.concat(F.lit("0x"), F.upper(F.substring("supplier", 3, 40))).alias("from"), F.when(F.col("quantity") % 7 != 0, F.col("customer")).alias("to"),
+                  h(F.col("quantity")).alias("value"), F.lit("0x5208").alias("gas"), h(F.col("tx_index") + 1).alias("gasPrice"), F.lit("0xAb").alias("input"))
+    pad = lambda c: F.concat(F.lit("0x" + "0" * 24), F.substring(c, 3, 40))
+    log = F.struct(F.col("part").alias("address"), F.array(F.lit(decode.TRANSFER_TOPIC), pad("customer"), pad("supplier")).alias("topics"),
+                   F.concat(F.lit("0x"), u256.from_long(F.col("price"))).alias("data"), h(F.col("tx_index") + 100).alias("logIndex"))
+    receipt = F.struct(F.col("tx_hash").alias("transactionHash"), F.col("block_hash").alias("blockHash"), h(F.col("status")).alias("status"),
+                       F.when(F.col("l_linestatus") == "F", F.array(log)).otherwise(F.array()).alias("logs"))
+    blocks = star.plain_facts.groupBy("block_number", "block_hash", "block_timestamp").agg(  # a few lines an order
+        F.sort_array(F.collect_list(F.struct("tx_index", tx.alias("t"), receipt.alias("r")))).alias("x"))
+    block = F.struct(h(F.col("block_number")).alias("number"), F.col("block_hash").alias("hash"), F.col("block_hash").alias("parentHash"),
+                     h(F.unix_seconds(F.col("block_timestamp").cast("timestamp"))).alias("timestamp"), F.col("x.t").alias("transactions"))
+    return blocks.select(F.lit(1).cast("long").alias("chain_id"), F.to_json(block).alias("block"), F.to_json("x.r").alias("receipts"), F.lit(None).cast("timestamp").alias("ingested_at"))
+
+
+def timed(df: DataFrame) -> DataFrame:
+    """Times as the tables have them, without a zone."""
+    return df.withColumn("block_timestamp", F.col("block_timestamp").cast("timestamp_ntz"))
+
+
+@query(with_("""SELECT chain_id, block_number, block_hash, block_hash AS parent_hash, date_trunc('second', block_timestamp) AS block_timestamp, CAST(count(*) AS INTEGER) AS transaction_count
+  FROM fact GROUP BY 1, 2, 3, 4, 5""", "fact"))
+def decode_blocks(spark, sf_dir):
+    return timed(decode.raw_blocks(decode.parsed(captured(Star(spark, sf_dir)))).drop("ingested_at"))
+
+
+@query(with_(f"""SELECT chain_id, block_number, block_hash, date_trunc('second', block_timestamp) AS block_timestamp, tx_hash, tx_index, supplier AS from_address,
+  CASE WHEN quantity % 7 <> 0 THEN customer END AS to_address, {hex64('quantity')} AS value_wei, CAST(21000 AS BIGINT) AS gas, {hex64('tx_index + 1')} AS gas_price, '0xab' AS input,
+  CAST(status AS BIGINT) AS status FROM fact""", "fact"))
+def decode_transactions(spark, sf_dir):
+    return timed(decode.raw_transactions(decode.parsed(captured(Star(spark, sf_dir)))).drop("ingested_at"))
+
+
+@query(with_(f"""SELECT chain_id, block_number, block_hash, date_trunc('second', block_timestamp) AS block_timestamp, tx_hash, tx_index + 100 AS log_index, part AS token_address,
+  customer AS from_address, supplier AS to_address, {hex64('price')} AS amount_raw FROM fact WHERE l_linestatus = 'F'""", "fact"))
+def decode_block_transfers(spark, sf_dir):
+    return timed(decode.token_transfers(decode.parsed(captured(Star(spark, sf_dir)))).drop("ingested_at"))
+
+
+@query("""SELECT 'sha256:' || sha256('[' || string_agg('{"address":"' || address || '","chain_id":1,"confidence":"0.5","contract_role":"","entity_category":"dex","entity_name":"' || n_name
+  || '","notes":"","source_reference":"nation ' || n_nationkey || '","source_type":"curated"}', ',' ORDER BY address) || ']') AS digest
+  FROM (SELECT *, '0x' || lower(lpad(to_hex(n_nationkey + 1), 40, '0')) AS address FROM nation)""")
+def seed_digest(spark, sf_dir):
+    """The version of a seed list made of the 25 nations; the list goes through the reader's checks."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect()  # a fixed table
+    lines = [f"1,0x{r.n_nationkey + 1:040X},  {r.n_name} ,DEX,,Curated,nation {r.n_nationkey},0.5," for r in n]
+    return spark.createDataFrame([(seed_source.digest(seed_source.parse("\n".join([",".join(seed_source.HEADER), *lines]))),)], "digest string")
+
+
 @query("SELECT p_partkey, " + sid("CAST(p_partkey AS VARCHAR)", "p_name", "'part'") + " AS id FROM part")
 def stable_ids(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", stable_id(F.col("p_partkey"), F.col("p_name"), "part").alias("id"))
@@ -431,35 +532,36 @@ def stable_ids(spark, sf_dir):
 # Labels ------------------------------------------------------------------------------------------
 
 
-def stored(spark, sf_dir) -> DataFrame:
-    return R.stored_clusters(members(spark, sf_dir))
-
-
 @query(with_("""SELECT chain_id, entity_id, entity_name AS display_name, entity_category, 'direct_seed' AS created_from, CAST(NULL AS VARCHAR) AS cluster_id FROM named WHERE rn = 1
   UNION ALL SELECT CAST(1 AS BIGINT), cid.entity_id, sel.entity_name, coalesce(sel.entity_category, 'unknown'), 'cluster_membership', cid.cluster_id FROM cid LEFT JOIN sel ON sel.cluster_id = cid.cluster_id""", "named", "sel", "cid"))
 def entities(spark, sf_dir):
-    return L.entities(seeds(spark, sf_dir), stored(spark, sf_dir))
+    star = Star(spark, sf_dir)
+    return L.entities(star.seeds, star.stored)
 
 
 @query(with_("""SELECT chain_id, entity_id, address AS wallet_address, 'direct_seed' AS membership_method, confidence AS membership_confidence, CAST(NULL AS VARCHAR) AS cluster_id FROM named
   UNION ALL SELECT chain_id, entity_id, wallet_address, 'cluster_membership', confidence, m.cluster_id FROM memb m JOIN cid ON cid.cluster_id = m.cluster_id""", "named", "cid"))
 def entity_members(spark, sf_dir):
-    return L.entity_members(seeds(spark, sf_dir), stored(spark, sf_dir))
+    star = Star(spark, sf_dir)
+    return L.entity_members(star.seeds, star.stored)
 
 
 @query(with_("SELECT * FROM asg WHERE assignment_method = 'direct_seed'", "asg"))
 def direct_labels(spark, sf_dir):
-    return L.assignments(seeds(spark, sf_dir), stored(spark, sf_dir)).where("assignment_method = 'direct_seed'")
+    star = Star(spark, sf_dir)
+    return L.assignments(star.seeds, star.stored).where("assignment_method = 'direct_seed'")
 
 
 @query(with_("SELECT * FROM asg WHERE assignment_method = 'cluster_propagation'", "asg"))
 def propagated_labels(spark, sf_dir):
-    return L.assignments(seeds(spark, sf_dir), stored(spark, sf_dir)).where("assignment_method = 'cluster_propagation'")
+    star = Star(spark, sf_dir)
+    return L.assignments(star.seeds, star.stored).where("assignment_method = 'cluster_propagation'")
 
 
 @query(with_("SELECT * FROM conf", "conf"))
 def label_conflicts(spark, sf_dir):
-    return L.conflicts(seeds(spark, sf_dir), stored(spark, sf_dir))
+    star = Star(spark, sf_dir)
+    return L.conflicts(star.seeds, star.stored)
 
 
 @query(with_("""SELECT chain_id, subject_type, subject_id, label_dimension, label_value, 'curated_seed' AS evidence_type, 'curated label for ' || address AS evidence_value, 1.0::DOUBLE AS weight,
@@ -468,17 +570,13 @@ def label_conflicts(spark, sf_dir):
   UNION ALL SELECT 1, subject_type, subject_id, 'entity_category', entity_category, 'cluster_membership_confidence', printf('%.17g', mc), mc, mc, source_type, source_reference FROM tgt
   UNION ALL SELECT 1, subject_type, subject_id, 'entity_category', entity_category, 'propagation_factor', printf('%.17g', 0.95::DOUBLE), 0.95, 0.95, source_type, source_reference FROM tgt""", "dir", "tgt"))
 def label_evidence(spark, sf_dir):
-    return L.label_evidence(seeds(spark, sf_dir), stored(spark, sf_dir))
+    star = Star(spark, sf_dir)
+    return L.label_evidence(star.seeds, star.stored)
 
 
 # Evaluation --------------------------------------------------------------------------------------
 
 
-def predictions(spark, sf_dir) -> DataFrame:
-    return L.assignments(seeds(spark, sf_dir), stored(spark, sf_dir)).where("subject_type = 'address'").select(
-        F.col("subject_id").alias("subject"), F.col("label_dimension").alias("dimension"), F.col("assignment_method").alias("method"), F.col("label_value").alias("value"))
-
-
 PRF = """CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) END AS {p}, CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) END AS {r},
   CASE WHEN tp > 0 THEN 2 * (tp::DOUBLE / (tp + fp)) * (tp::DOUBLE / (tp + fn)) / (tp::DOUBLE / (tp + fp) + tp::DOUBLE / (tp + fn)) END AS {f}"""
 EVALUATED = f""", spk AS (SELECT dimension, method, subject, max(value) AS value FROM pred GROUP BY 1, 2, 3),
@@ -496,17 +594,19 @@ EVALUATED = f""", spk AS (SELECT dimension, method, subject, max(value) AS value
 @query(with_(", pred AS (SELECT subject_id AS subject, label_dimension AS dimension, assignment_method AS method, label_value AS value FROM asg WHERE subject_type = 'address')"
              + EVALUATED.replace("{methods}", "['direct_seed', 'cluster_propagation']"), "truth", "asg"))
 def label_evaluation(spark, sf_dir):
-    return E.evaluate_labels(E.truth_labels(seeds(spark, sf_dir)), predictions(spark, sf_dir))
+    star = Star(spark, sf_dir)
+    return E.evaluate_labels(E.truth_labels(star.seeds), star.predictions())
 
 
-@query("""WITH truth AS (SELECT doc_id AS subject, 'toxic' AS dimension, CAST(toxic AS VARCHAR) AS truth FROM labels),
-  pred AS (SELECT doc_id AS subject, 'toxic' AS dimension, 'rule' AS method, CASE WHEN contains(text, 'idiot') OR contains(text, 'moron') THEN '1' ELSE '0' END AS value FROM documents)"""
+@query("""WITH truth AS (SELECT c_custkey AS subject, 'balance' AS dimension, CASE WHEN c_acctbal < 0 THEN 'debt' ELSE 'credit' END AS truth FROM customer),
+  pred AS (SELECT c_custkey AS subject, 'balance' AS dimension, 'rule' AS method, CASE WHEN c_mktsegment = 'BUILDING' THEN 'debt' ELSE 'credit' END AS value FROM customer WHERE c_nationkey < 20)"""
        + EVALUATED.replace("{methods}", "['rule']"))
-def document_rule_evaluation(spark, sf_dir):
-    truth = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("subject"), F.lit("toxic").alias("dimension"), F.col("toxic").cast("string").alias("truth"))
-    rule = F.col("text").contains("idiot") | F.col("text").contains("moron")
-    found = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("subject"), F.lit("toxic").alias("dimension"), F.lit("rule").alias("method"), F.when(rule, "1").otherwise("0").alias("value"))
-    return E.evaluate_labels(truth, found, ("rule",))
+def customer_rule_evaluation(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    own = [F.col("c_custkey").alias("subject"), F.lit("balance").alias("dimension")]
+    truth = c.select(*own, F.when(F.col("c_acctbal") < 0, "debt").otherwise("credit").alias("truth"))
+    rule = F.when(F.col("c_mktsegment") == "BUILDING", "debt").otherwise("credit")
+    return E.evaluate_labels(truth, c.where("c_nationkey < 20").select(*own, F.lit("rule").alias("method"), rule.alias("value")), ("rule",))
 
 
 @query(with_(f""", t AS (SELECT address, name AS entity, cluster_id FROM seed LEFT JOIN memb ON wallet_address = address WHERE address IN (SELECT address FROM feat)),
@@ -516,10 +616,10 @@ def document_rule_evaluation(spark, sf_dir):
     (SELECT count(DISTINCT entity) FROM t) AS ground_truth_entity_count, (SELECT count(*) FROM seed) AS ground_truth_address_count, (SELECT count(*) FROM t) AS evaluated_address_count,
     (SELECT count(DISTINCT cluster_id) FROM t) AS predicted_cluster_count FROM p""", "seed", "memb", "feat"))
 def clustering_evaluation(spark, sf_dir):
-    e = edges(spark, sf_dir)
-    seen = e.select(F.col("from_address").alias("address")).union(e.select("to_address")).distinct()
-    return E.evaluate_clustering(seeds(spark, sf_dir).select("address", F.col("entity_name").alias("entity")), seen,
-                                 stored(spark, sf_dir).select(F.col("wallet_address").alias("address"), "cluster_id"))
+    star = Star(spark, sf_dir)
+    seen = star.edges.select(F.explode(F.array("from_address", "to_address")).alias("address")).distinct()
+    return E.evaluate_clustering(star.seeds.select("address", F.col("entity_name").alias("entity")), seen,
+                                 star.stored.select(F.col("wallet_address").alias("address"), "cluster_id"))
 
 
 SIZES_SQL = """count(*)::DOUBLE AS cluster_count, coalesce(max(n), 0)::DOUBLE AS largest_cluster_size, coalesce(avg(n), 0)::DOUBLE AS average_cluster_size,
@@ -531,13 +631,6 @@ def size_statistics(spark, sf_dir):
     return E.size_statistics(table(spark, sf_dir, "events").select(F.col("user_id").alias("cluster_id"), F.lit(0.5).alias("confidence")))
 
 
-def drift(spark, sf_dir) -> DataFrame:
-    """The snapshot's metrics; fixed run counts and conflict count stand for the run row."""
-    s, m = seeds(spark, sf_dir), stored(spark, sf_dir)
-    seen = funding(spark, sf_dir).select(F.col("funded_address").alias("address"))
-    return E.drift_metrics({"wallet_count": 100, "resolution_edge_count": 50}, m, 7, L.assignments(s, m), 3, s, seen)
-
-
 DRIFT = f""", z AS (SELECT {SIZES_SQL}, coalesce(avg(c), 0)::DOUBLE AS average_cluster_confidence FROM csize),
   own AS (SELECT DISTINCT address FROM seed),
   dm AS (SELECT 'clustering' AS metric_group, 'wallet_count' AS metric_name, 'all' AS scope_key, 100.0::DOUBLE AS value UNION ALL SELECT 'clustering', 'resolution_edge_count', 'all', 50.0
@@ -557,7 +650,7 @@ DRIFT = f""", z AS (SELECT {SIZES_SQL}, coalesce(avg(c), 0)::DOUBLE AS average_c
 
 @query(with_(DRIFT + " SELECT * REPLACE (round(value, 9) AS value) FROM dm", "csize", "asg", "seed", "fund"))
 def drift_metrics(spark, sf_dir):
-    return drift(spark, sf_dir).withColumn("value", F.round("value", 9))
+    return Star(spark, sf_dir).drift().withColumn("value", F.round("value", 9))
 
 
 MONTHS = """month AS (SELECT CAST(year(o_orderdate) * 12 + month(o_orderdate) AS BIGINT) AS m, o_custkey, count(*) AS n FROM orders GROUP BY 1, 2),
@@ -612,21 +705,21 @@ def drift_alerts(spark, sf_dir):
 @query(with_(f""", r AS (SELECT cluster_id, max(cluster_size) AS cluster_size, min({f32('confidence')}) AS confidence, 'shared_funder_v1' AS heuristic_version FROM clus GROUP BY 1)
   SELECT * FROM r WHERE cluster_size >= 3 ORDER BY cluster_size DESC, cluster_id LIMIT 50 OFFSET 5""", "clus"))
 def api_clusters(spark, sf_dir):
-    return api.ranked_clusters(stored(spark, sf_dir), 3, 50, 5)
+    return api.ranked_clusters(Star(spark, sf_dir).stored, 3, 50, 5)
 
 
 @query(with_(f"SELECT cluster_id, max(cluster_size) AS cluster_size, min({f32('confidence')}) AS confidence, 'shared_funder_v1' AS heuristic_version FROM clus GROUP BY 1", "clus"))
 def api_cluster(spark, sf_dir):
-    return api.cluster_rows(stored(spark, sf_dir))
+    return api.cluster_rows(Star(spark, sf_dir).stored)
 
 
 @query(with_(f""", top AS (SELECT cluster_id FROM clus GROUP BY 1 ORDER BY max(cluster_size) DESC, cluster_id LIMIT 1), w AS (SELECT wallet_address FROM clus WHERE cluster_id IN (SELECT cluster_id FROM top))
   SELECT {PAIR_COLUMNS} FROM pair WHERE wallet_a IN (SELECT wallet_address FROM w) AND wallet_b IN (SELECT wallet_address FROM w) ORDER BY wallet_a, wallet_b LIMIT 500""", "clus"))
 def api_cluster_edges(spark, sf_dir):
-    own = stored(spark, sf_dir)
+    star = Star(spark, sf_dir)
+    own = star.stored
     first = api.ranked_clusters(own, None, 1, 0).select("cluster_id")
-    pairs = R.shared_funder_pairs(funding(spark, sf_dir), DAYS30, FANOUT)
-    return api.paged(api.inside_cluster(pairs, own.join(F.broadcast(first), "cluster_id", "left_semi")), 500, 0, "wallet_a", "wallet_b")  # one row
+    return api.paged(api.inside_cluster(star.pairs, own.join(F.broadcast(first), "cluster_id", "left_semi")), 500, 0, "wallet_a", "wallet_b")  # one row
 
 
 @query(with_("""SELECT chain_id, entity_id, entity_name AS display_name, entity_category, 'direct_seed' AS created_from, CAST(NULL AS VARCHAR) AS cluster_id FROM named WHERE rn = 1 AND entity_category = 'dex'
@@ -644,8 +737,9 @@ def api_drift_alerts(spark, sf_dir):
 
 @query(with_("""SELECT label_dimension, label_value, subject_id, confidence, assignment_method, 1 + 2 * CAST(assignment_method = 'cluster_propagation' AS INT) AS n_evidence FROM asg WHERE subject_type = 'address'""", "asg"))
 def api_wallet_labels(spark, sf_dir):
-    s, m = seeds(spark, sf_dir), stored(spark, sf_dir)
-    labels = L.assignments(s, m).where("subject_type = 'address'").select("subject_id", "label_dimension", "label_value", "confidence", "assignment_method")
+    star = Star(spark, sf_dir)
+    s, m = star.seeds, star.stored
+    labels = star.assignments.where("subject_type = 'address'").select("subject_id", "label_dimension", "label_value", "confidence", "assignment_method")
     found = L.label_evidence(s, m).where("subject_type = 'address'").groupBy("subject_id", "label_dimension", "label_value").agg(F.collect_list("evidence_type").alias("e"))
     return labels.join(found, ["subject_id", "label_dimension", "label_value"], "left").select(
         "label_dimension", "label_value", "subject_id", "confidence", "assignment_method", F.size("e").alias("n_evidence"))
