@@ -238,3 +238,18 @@ def test_stream_of_captured_blocks(spark, tmp_path):
     for _ in range(2):
         ingest.stream_facts(ingest.captured_stream(spark, f"{tmp_path}/in", 1), store, f"{tmp_path}/c").awaitTermination()
     assert store.read("raw_blocks").count() == 2 and store.read("raw_transactions").count() == 3
+
+
+def test_windowed_activity_leaves_late_rows_out(spark, tmp_path):
+    """Counts per window; rows behind the watermark of earlier batches do not change them."""
+    at = lambda m: f"2024-01-01T00:{m:02}:00"
+    batches = [[(1, at(1)), (1, at(2)), (2, at(2)), (1, at(7))], [(1, at(40))], [(1, at(3)), (1, at(41))]]
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("chain_id bigint, block_timestamp timestamp").json(f"{tmp_path}/in")
+    query = lambda: ingest.windowed_activity(stream).writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+        "checkpointLocation", f"{tmp_path}/c").outputMode("append").trigger(availableNow=True).start()
+    for i, rows in enumerate(batches):
+        (tmp_path / "in" / f"{i}.json").write_text("\n".join(json.dumps({"chain_id": c, "block_timestamp": t}) for c, t in rows))
+        query().awaitTermination()
+    got = {(r.chain_id, r.window.start.minute): r.transactions for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {(1, 0): 2, (2, 0): 1, (1, 5): 1}
