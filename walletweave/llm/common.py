@@ -65,14 +65,15 @@ def give_back(batches: Iterator) -> Iterator:
 HOT = 4096
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, rows: str, spread: str) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, key: str, rows: str, spread: str, total: int | None = None) -> DataFrame:
     """``left`` left-joined with ``right``, which has one row a key and, in ``rows``, how often ``left`` has it.
 
     Keys of more than 1 / ``HOT`` of the rows are at most ``HOT`` and are broadcast; the others meet in a
     shuffle, so no key has a larger share of a partition than that. Rows of hot or null keys are spread
-    by ``spread``. ``right`` should be a written table: it is read twice.
+    by ``spread``. ``total`` is the sum of ``rows`` where it is known; ``right`` is read twice, so it is
+    a written table or ends in an aggregate whose shuffle the two readers share.
     """
-    limit = (right.agg(F.sum(rows)).first()[0] or 0) // HOT
+    limit = (total if total is not None else right.agg(F.sum(rows)).first()[0] or 0) // HOT
     values = [c for c in right.columns if c not in (key, rows)]
     hot = F.broadcast(right.where(F.col(rows) > limit).select(  # at most HOT rows
         F.col(key).alias("__hot"), F.struct(*values).alias("__a")))

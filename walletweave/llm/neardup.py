@@ -283,10 +283,10 @@ def _classes(docs: DataFrame, key: str, text: str, shingle: int, threshold: floa
     members = stage(regions.join(nodes.select("node", "best.row", "n"), "node"), "regions")
     drop_stage(regions)
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
-    sizes = stage(members.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("total")).select("root", "m", blocks.alias("n_blocks")), "sizes")
-    most = sizes.agg(F.max("n_blocks")).first()[0] or 0
+    sizes = members.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("total")).select("root", "m", blocks.alias("n_blocks"))
+    most, total = (x or 0 for x in sizes.agg(F.max("n_blocks"), F.sum(F.when(F.col("n_blocks") > 1, F.col("m")))).first())
     # Regions of one block need no size: only larger ones are looked up.
-    dealt = join_hot(members, sizes.where("n_blocks > 1"), "root", "m", spread="node").select(
+    dealt = join_hot(members, sizes.where("n_blocks > 1"), "root", "m", "node", total).select(
         F.col("row"), "root", F.coalesce("n_blocks", F.lit(1)).alias("n_blocks"), "node").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).drop("node")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
@@ -301,12 +301,12 @@ def _classes(docs: DataFrame, key: str, text: str, shingle: int, threshold: floa
         units = _deal(texts, first, first + step)
         links.append(stage(verified_links(units.select("unit", "side", "t"), shingle, percent), "links"))
     parts = connected_components(functools.reduce(DataFrame.unionAll, links))
-    linked = stage(parts.join(nodes.select("node", "k", "best"), "node"), "linked")
-    ids = stage(linked.groupBy("root").agg(F.min("k").alias("component_id"), F.min("best").alias("least"), F.count("*").alias("m")), "ids")
-    named = join_hot(linked.select("node", "root"), ids, "root", "m", spread="node").select("node", "component_id", "least")
+    ids = parts.join(nodes.select("node", "k", "best"), "node").groupBy("root").agg(
+        F.min("k").alias("component_id"), F.min("best").alias("least"), F.count("*").alias("m"))
+    named = join_hot(parts, ids, "root", "m", "node", parts.count()).select("node", "component_id", "least")
     classes = stage(nodes.join(named, "node", "left").select(
         "node", "rows", F.coalesce("component_id", "k").alias("component_id"), F.coalesce("least", "best").alias("best")), "classes")
-    for df in (nodes, members, sizes, parts, linked, ids, *links, *([large] if most // 2 >= step else [])):
+    for df in (nodes, members, parts, *links, *([large] if most // 2 >= step else [])):
         drop_stage(df)
     return sig, classes
 
