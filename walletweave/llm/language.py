@@ -22,7 +22,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,21 +53,22 @@ def learn(train: DataFrame, text: str = "text", lang: str = "lang") -> tuple[lis
     language, however large the corpus.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for pdf in give_back(batches):
-            for lang, text in zip(pdf["l"], pdf["t"], strict=True):
+        for batch in give_back(batches):
+            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+                lang, text = lang.as_py(), text.as_py()
                 if text:
                     if lang not in total:
                         total[lang] = np.zeros(BUCKETS, dtype=np.int64)
                     total[lang] += np.bincount(trigrams(text), minlength=BUCKETS)
         for lang, n in total.items():
             at = np.flatnonzero(n)
-            yield pd.DataFrame({"l": lang, "bucket": at, "n": n[at]})
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["l", "bucket", "n"])
 
     counts = (
         train.where(F.col(lang).isNotNull()).select(F.col(lang).alias("l"), F.col(text).alias("t"))
-        .mapInPandas(run, "l string, bucket int, n long")
+        .mapInArrow(run, "l string, bucket int, n long")
         .groupBy("l", "bucket").agg(F.sum("n").alias("n")).toPandas()
     )
     langs = sorted(counts["l"].unique().tolist())
@@ -125,18 +126,21 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
     langs, logp = model
     held = docs.sparkSession.sparkContext.broadcast(logp)  # BUCKETS x languages
 
-    @F.pandas_udf("struct<lang: string, score: double, langs: array<string>, shares: array<double>>")
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kinds = (pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64()))
+
+    @F.arrow_udf("struct<lang: string, score: double, langs: array<string>, shares: array<double>>")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in give_back(texts):
             out = []
             for t in s:
+                t = t.as_py()
                 if not langs or not t or not has_letter(t):
                     out.append(("und", 0.0, [], []))
                     continue
                 who, pi = mixture(t, held.value)
                 names = [langs[i] for i in who]
                 out.append((names[0], float(min(1.0, pi[0])), names, pi.tolist()))
-            yield pd.DataFrame(out, columns=["lang", "score", "langs", "shares"])
+            yield pa.StructArray.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["lang", "score", "langs", "shares"])
 
     return docs.select("*", run(F.col(text)).alias(free(docs, "language")))
 

@@ -22,7 +22,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,9 +75,9 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, categories,
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(known), "k")  # bounded by max_rows
     one = rows.groupBy("k", *names).agg(F.min_by("t", F.xxhash64("t")).alias("t"))
 
-    @F.pandas_udf("array<string>")
-    def all_words(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(word_set(t)))
+    @F.arrow_udf("array<string>")
+    def all_words(texts: pa.Array) -> pa.Array:
+        return pa.array([sorted(word_set(t.as_py())) for t in texts], pa.list_(pa.string()))
 
     return one.select("k", F.pmod(F.xxhash64("t"), F.lit(FOLDS)).cast("int").alias("fold"), all_words("t").alias("words"), *names)
 
@@ -123,22 +123,22 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     words, chain = model["words"], model["chain"]
     kind = "struct<" + ", ".join(f"{n}: double" for n, _ in chain) + ">"
 
-    @F.pandas_udf(kind)
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(kind)
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = words.keys()
         for s in give_back(texts):
             x = np.zeros((len(s), len(words)))
             none = np.zeros(len(s), dtype=bool)
             for i, t in enumerate(s):
-                has = word_set(t)
+                has = word_set(t.as_py())
                 none[i] = not has
                 x[i, [words[h] for h in vocabulary & has]] = 1
-            out = {}
-            for n, w in chain:
+            out = []
+            for _, w in chain:
                 p = np.where(none, 0.0, _prob(x, w))
-                out[n] = p
+                out.append(pa.array(p))
                 x = np.hstack([x, p[:, None]])
-            yield pd.DataFrame(out)
+            yield pa.StructArray.from_arrays(out, names=[n for n, _ in chain])
 
     return docs.select("*", run(F.col(text)).alias(free(docs, "toxicity")))
 
