@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,13 +56,23 @@ def learn(train: DataFrame, text: str = "text", lang: str = "lang") -> tuple[lis
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
+        pending: dict[str, list] = defaultdict(list)
+
+        def add():
+            for lang, grams in pending.items():
+                total[lang] = total.get(lang, 0) + np.bincount(np.concatenate(grams), minlength=BUCKETS)
+            pending.clear()
+
+        size = 0
         for batch in give_back(batches):
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-                lang, text = lang.as_py(), text.as_py()
-                if text:
-                    if lang not in total:
-                        total[lang] = np.zeros(BUCKETS, dtype=np.int64)
-                    total[lang] += np.bincount(trigrams(text), minlength=BUCKETS)
+                if text := text.as_py():
+                    pending[lang.as_py()].append(trigrams(text))
+                    size += len(text)
+                if size > 16 * BUCKETS:
+                    add()
+                    size = 0
+        add()
         for lang, n in total.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["l", "bucket", "n"])
@@ -95,9 +106,8 @@ def _em(like: np.ndarray, n: np.ndarray, start: np.ndarray) -> tuple[np.ndarray,
 def mixture(text: str, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(indexes of the chosen languages, their proportions), largest first."""
     grams = trigrams(text)
-    count = np.bincount(grams, minlength=BUCKETS)
-    at = np.flatnonzero(count)
-    n = count[at].astype(np.float64)
+    at, n = np.unique(grams, return_counts=True)
+    n = n.astype(np.float64)
     part = logp[at]
     top = part.max(axis=1, keepdims=True)
     like, base = np.exp((part - top).astype(np.float64)), float(n @ top[:, 0])
