@@ -76,8 +76,8 @@ def test_lists_and_evaluation(served):
 
 
 @pytest.mark.parametrize("query,says", [
-    ('{ wallet(address: "0x12") { address } }', "40 hex"), ("{ entities(limit: 501) { id } }", "limit must be between 1 and 500"), ("{ entities(offset: -1) { id } }", "offset"),
-    ('{ clusters(clusterRunId: "nope") { id } }', "nope does not exist"), ('{ driftAlerts(severity: "loud") { severity } }', "severity"), ("{ wallet { address } }", "needs the argument address"),
+    ('{ wallet(address: "0x12") { address } }', "40 hex"), ("{ entities(limit: 501) { id } }", "limit has to lie in 1..500"), ("{ entities(offset: -1) { id } }", "offset"),
+    ('{ clusters(clusterRunId: "nope") { id } }', "there is no cluster run nope"), ('{ driftAlerts(severity: "loud") { severity } }', "severity"), ("{ wallet { address } }", "needs the argument address"),
     ("{ clusters { colour } }", "no field colour"), ("{ clusters }", "needs selections"), ("{ clusters { id { x } } }", "has no selections"), ("{ clusters(minSize: \"2\") { id } }", "an integer"),
     ("{ clusters(size: 2) { id } }", "no argument size"), ("mutation { x }", "only queries"), ("{ clusters { id }", "syntax error"), ("", "no query"), ("{ clusters { ...X } }", "no fragment"), ("{ a(b: ?) }", "syntax error"),
 ])

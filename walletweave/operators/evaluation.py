@@ -136,6 +136,16 @@ def compare_drift(current: DataFrame, previous: DataFrame) -> DataFrame:
     return out.withColumn("absolute_change", v - p).withColumn("relative_change", relative_change(v, p))
 
 
+#: What alerts say.
+MESSAGES = {
+    "largest_cluster_size": "Largest cluster size increased beyond the configured guardrail.",
+    "cluster_count": "Cluster count dropped sharply while wallet count remained similar.",
+    "propagated_label_count": "Propagated label count increased beyond the configured guardrail.",
+    "conflict_count": "Label conflicts increased to a non-trivial count.",
+    "coverage": "{} dropped beyond the configured guardrail.",
+}
+
+
 def drift_alerts(compared: DataFrame, thresholds: dict = THRESHOLDS, by: list[str] | None = None) -> DataFrame:
     """The six alert rules over compared metrics; ``by`` names columns that hold separate runs apart."""
     by = by or []
@@ -157,14 +167,14 @@ def drift_alerts(compared: DataFrame, thresholds: dict = THRESHOLDS, by: list[st
     up, drop = t["largest_cluster_relative_increase"], t["cluster_count_drop"]
     rules = [
         alert("largest_cluster_size", largest >= up, F.when(largest >= 2 * up, "critical").otherwise("warning"), "relative_increase", up,
-              "Largest cluster size increased beyond the configured guardrail."),
+              MESSAGES["largest_cluster_size"]),
         alert("cluster_count", (clusters <= -drop) & F.col("wallet_count").isNotNull() & (wallets.isNull() | (F.abs(wallets) <= 0.1)), warning, "relative_drop", drop,
-              "Cluster count dropped sharply while wallet count remained similar."),
+              MESSAGES["cluster_count"]),
         alert("propagated_label_count", (spread["relative_change"] >= t["propagated_label_spike"]) | ((spread["previous_value"] == 0) & (spread["value"] > 0)), warning,
-              "relative_increase", t["propagated_label_spike"], "Propagated label count increased beyond the configured guardrail."),
+              "relative_increase", t["propagated_label_spike"], MESSAGES["propagated_label_count"]),
         alert("conflict_count", (found["value"] >= t["conflict_count"]) & (found["value"] > found["previous_value"]), warning, "absolute_count", t["conflict_count"],
-              "Label conflicts increased to a non-trivial count."),
+              MESSAGES["conflict_count"]),
         *[alert(n, F.col(n)["relative_change"] <= -t["seed_coverage_drop"], warning, "relative_drop", t["seed_coverage_drop"],
-                f"{n} dropped beyond the configured guardrail.") for n in ("seed_seen_count", "seed_cluster_overlap_count")],
+                MESSAGES["coverage"].format(n)) for n in ("seed_seen_count", "seed_cluster_overlap_count")],
     ]
     return wide.select(*by, F.explode(F.filter(F.array(*rules), lambda x: x.isNotNull())).alias("a")).select(*by, "a.*")

@@ -26,15 +26,15 @@ class ApiError(ValueError):
 
 def normalize_address(address: str) -> str:
     if not re.fullmatch("0x[0-9a-fA-F]{40}", address):
-        raise ApiError("address must be 0x followed by 40 hex digits")
+        raise ApiError("an address is 0x and 40 hex digits")
     return address.lower()
 
 
 def page(limit: int = DEFAULT_LIMIT, offset: int = 0) -> tuple[int, int]:
     if not 1 <= limit <= MAX_LIMIT:
-        raise ApiError(f"limit must be between 1 and {MAX_LIMIT}")
+        raise ApiError(f"limit has to lie in 1..{MAX_LIMIT}")
     if not 0 <= offset <= MAX_OFFSET:
-        raise ApiError(f"offset must be between 0 and {MAX_OFFSET}")
+        raise ApiError(f"offset has to lie in 0..{MAX_OFFSET}")
     return limit, offset
 
 
@@ -90,11 +90,11 @@ class Api:
         if run_id is not None:
             row = self.store.run_state(table, run_id)
             if row is None:
-                raise ApiError(f"{kind} run {run_id} does not exist")
+                raise ApiError(f"there is no {kind} run {run_id}")
             if row["chain_id"] != chain:
-                raise ApiError(f"{kind} run {run_id} is on another chain")
+                raise ApiError(f"{kind} run {run_id} was made for another chain")
             if row["status"] != "completed":
-                raise ApiError(f"{kind} run {run_id} is not completed")
+                raise ApiError(f"{kind} run {run_id} has not come to its end")
             return row
         rows = latest_by_version(self.store.read(table).where(F.col("chain_id") == chain), ["run_id"]).where("status = 'completed'")
         row = rows.orderBy(F.desc("completed_at"), F.desc("run_id")).limit(1).first()
