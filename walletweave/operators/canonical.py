@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scores import SECURITY_RANK, rank, security_of
-from .state import first_in_group, latest_by_version, next_versions
+from .state import latest_by_version, next_versions
 
 MAX_REORG_DEPTH = 128
 #: Reasons in the history.
