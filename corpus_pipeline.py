@@ -3,6 +3,12 @@
 Toxic documents go; one document of each near-duplicate group stays; documents that hold a
 benchmark item go; secrets are cut out of the texts; the last stage encodes what is left as
 sampled SentencePiece segmentations.
+
+Defined cases: rows are judged one by one, by their text, whatever their ids (null, repeated); a
+null, empty or blank text is neither toxic nor a duplicate nor a leak, so such rows stay, and are
+encoded as the empty sequence; of rows equal in id and text one stays; columns beside those of
+``documents`` pass the first four stages as they are; without labels nothing is toxic, without a
+benchmark nothing leaks; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, free, join_hot, let, stage, words_of
+from .common import free, join_hot, let, stage, words_of
 
 #: Characters counted as symbols.
 SYMBOLS = r"[#*$%&|<>]"

@@ -2,6 +2,10 @@
 
 Texts are read as UTF-8 bytes straight from Arrow buffers, in slices; no word becomes a Python
 object. A word's hash is a polynomial in its bytes modulo 2**64, mixed.
+
+Defined cases: a null text is an empty one; an empty or blank text has no word and the empty set; a
+text of fewer words than a shingle is one shingle of them all; a text longer than a slice is a
+slice of its own; an empty array gives nothing.
 """
 
 from __future__ import annotations
