@@ -163,8 +163,9 @@ def scan(blocks: DataFrame, end: int = END, id_bytes: int = 2) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.list_(pa.int64()))], names=names)
 
-    found = blocks.select("file", "block", "ids").mapInArrow(
-        run, f"file {kind}, block long, seps long, head long, tail long, size long, inner array<long>")
+    # Written, a number a document and a row a block, so that the ids are read once.
+    found = stage(blocks.select("file", "block", "ids").mapInArrow(
+        run, f"file {kind}, block long, seps long, head long, tail long, size long, inner array<long>"), "scanned")
     # Within a group of blocks: sums from the group's start, and the place of the last cut (end of its last document).
     grouped = found.withColumn("g", F.floor(F.col("block") / GROUP))
     order = Window.partitionBy("file", "g").orderBy("block")
