@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import drop_stage, stage
 
 #: Header fields a not-modified response may update.
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary", "warning")
@@ -52,9 +52,14 @@ def _headers(h):
 
 
 def in_ranges(records: DataFrame) -> DataFrame:
-    """Narrow records with ``part``, the number of the range of (URL, time, id) they lie in; written."""
-    spread = records.where("url_key is not null").repartitionByRange("url_key", "ts", "record_id")
-    return stage(spread.withColumn("part", F.spark_partition_id()), "captures")
+    """Narrow records with ``part``, the number of the range of (URL, time, id) they lie in; written.
+
+    They are written once before, as finding the ranges reads its input twice.
+    """
+    narrow = stage(records.where("url_key is not null"), "narrow")
+    out = stage(narrow.repartitionByRange("url_key", "ts", "record_id").withColumn("part", F.spark_partition_id()), "captures")
+    drop_stage(narrow)
+    return out
 
 
 def latest_earlier(ranged: DataFrame) -> DataFrame:
