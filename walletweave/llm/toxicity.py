@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, give_back, stage
+from .common import drop_stage, free, give_back, stage
 
 WORD = re.compile(r"\w+")
 STEMS = (3, 4, 5, 6)
@@ -82,14 +82,32 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, categories,
     return one.select("k", F.pmod(F.xxhash64("t"), F.lit(FOLDS)).cast("int").alias("fold"), all_words("t").alias("words"), *names)
 
 
+def _word_counts(sample: DataFrame, names: list[str]) -> DataFrame:
+    """(word, n, category sums): each task adds up its own rows first, so a common word is one row a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, list[int]] = {}
+        for batch in give_back(batches):
+            for has, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for w in has:
+                    sums = total.setdefault(w, [0] * (1 + len(names)))
+                    sums[0] += 1
+                    for i, v in enumerate(values, 1):
+                        sums[i] += v
+        sums = list(zip(*total.values(), strict=True)) or [()] * (1 + len(names))
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), *(pa.array(x, pa.int64()) for x in sums)], names=["word", "n", *names])
+
+    part = sample.select("words", *names).mapInArrow(run, "word string, n long, " + ", ".join(f"{n} long" for n in names))
+    return part.groupBy("word").agg(F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in names])
+
+
 def fit_chain(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
               categories=CATEGORIES, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> dict:
     """{"words": {word: index}, "chain": [(category, weights)]}; weights: words, earlier categories, intercept."""
     names = [n for n, _ in categories]
     sample = stage(_sample(docs, labels, key, text, categories, max_rows), "labelled")
     total = sample.agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names]).first()
-    counts = sample.select(F.explode("words").alias("word"), *names).groupBy("word").agg(
-        F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names]).where("n >= 5")
+    counts = stage(_word_counts(sample, names).where("n >= 5"), "words")
     words: dict[str, int] = {}
     for n in names:
         pos, all_ = float(total[n] or 0), float(total["n"])
@@ -100,9 +118,11 @@ def fit_chain(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         score = F.pow(F.col(n) - expected, 2) / (expected * (1 - pos / all_))
         for r in counts.orderBy(score.desc(), "word").limit(max_features).collect():
             words.setdefault(r["word"], len(words))
+    drop_stage(counts)
     chosen = list(words)
     rows = sample.select("k", "fold", *names, F.array_intersect("words", F.array(*map(F.lit, chosen)).cast("array<string>")).alias("has")).toPandas()
     rows = rows.sort_values("k", kind="stable")  # the same sums whatever the partitioning
+    drop_stage(sample)
     x = np.zeros((len(rows), len(words)))
     for i, has in enumerate(rows["has"]):
         x[i, [words[h] for h in has]] = 1
