@@ -292,7 +292,8 @@ def _classes(docs: DataFrame, key: str, text: str, shingle: int, threshold: floa
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     whole = docs.select(row_hash(key, text).alias("row"), F.col(text).cast("string").alias("t"),
                         F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"))
-    texts = dealt.withColumn("salt", salts).join(whole, ["row", "salt"]).groupBy("row", "salt").agg(
+    # A merge join at every size: a broadcast of few members would hide what the shuffle costs beyond.
+    texts = dealt.withColumn("salt", salts).hint("merge").join(whole, ["row", "salt"]).groupBy("row", "salt").agg(
         F.first(F.struct("root", "n_blocks", "block")).alias("at"), F.first("t").alias("t")).select("at.*", "t")
     step, links = SPLIT // 2 + 1, []
     for first in range(0, most // 2 + 1, step):
@@ -330,7 +331,7 @@ def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text
     again = sig.where("node is not null").groupBy("row").count().where("count > 1").select("row")
     out = packed.where("NOT worded").select("all")
     if again.isEmpty():
-        kept = packed.where("worded").join(chosen, "row", "left_semi")
+        kept = packed.where("worded").join(chosen.hint("merge"), "row", "left_semi")
     else:  # rows equal in id and text: spread by salt, then one of each
         salted = packed.where("worded").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
         marked = chosen.join(again.withColumn("twice", F.lit(True)), "row", "left").withColumn(
