@@ -19,6 +19,7 @@ an underscore after it.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,16 +87,15 @@ def _word_counts(sample: DataFrame, names: list[str]) -> DataFrame:
     """(word, n, category sums): each task adds up its own rows first, so a common word is one row a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, list[int]] = {}
+        total, sums = Counter(), [Counter() for _ in names]
         for batch in give_back(batches):
             for has, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for w in has:
-                    sums = total.setdefault(w, [0] * (1 + len(names)))
-                    sums[0] += 1
-                    for i, v in enumerate(values, 1):
-                        sums[i] += v
-        sums = list(zip(*total.values(), strict=True)) or [()] * (1 + len(names))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), *(pa.array(x, pa.int64()) for x in sums)], names=["word", "n", *names])
+                total.update(has)
+                for counter, v in zip(sums, values, strict=True):
+                    if v:
+                        counter.update(has)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64()),
+                                          *(pa.array([c[w] for w in total], pa.int64()) for c in sums)], names=["word", "n", *names])
 
     part = sample.select("words", *names).mapInArrow(run, "word string, n long, " + ", ".join(f"{n} long" for n in names))
     return part.groupBy("word").agg(F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in names])
