@@ -69,8 +69,19 @@ class Star:
         return ST.first_in_group(self.table("lineitem"), ["l_orderkey", "l_linenumber"], [F.desc(c) for c in LINE_ORDER])
 
     @cached_property
-    def plain_facts(self) -> DataFrame:
+    def plain_rows(self) -> DataFrame:
         rows = self.lines.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return rows.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+
+    @cached_property
+    def shared_rows(self) -> DataFrame:
+        """The deduplicated lines with their orders, staged: numbers only, hashes and addresses follow when they are read."""
+        return stage(self.plain_rows, "facts")
+
+    @property
+    def facts(self) -> DataFrame:
+        """From the staged rows where a plan of this call has needed them twice, else from the plan."""
+        rows = self.__dict__.get("shared_rows", self.plain_rows)
         return rows.select(
             F.lit(1).cast("long").alias("chain_id"), F.col("o_orderkey").alias("block_number"),
             F.concat(F.lit("0x"), F.sha2(F.col("o_orderkey").cast("string"), 256)).alias("block_hash"), F.col("o_orderdate").alias("block_timestamp"),
@@ -79,15 +90,6 @@ class Star:
             F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).alias("status"),
             cents("l_quantity").alias("quantity"), cents("l_extendedprice").alias("price"), "l_linestatus", "o_orderstatus")
 
-    @cached_property
-    def shared_facts(self) -> DataFrame:
-        return stage(self.plain_facts, "facts")
-
-    @property
-    def facts(self) -> DataFrame:
-        """The staged facts where a plan of this call has needed them twice, else the plan."""
-        return self.__dict__.get("shared_facts", self.plain_facts)
-
     def transactions(self) -> DataFrame:
         return self.facts.select("chain_id", "block_number", "block_hash", "block_timestamp", "tx_hash", "tx_index", F.col("supplier").alias("from_address"),
                                  F.col("customer").alias("to_address"), u256.from_long(F.col("quantity")).alias("value_wei"), "status")
@@ -99,7 +101,7 @@ class Star:
 
     @cached_property
     def edges(self) -> DataFrame:
-        self.shared_facts  # noqa: B018 - both kinds of edge read them
+        self.shared_rows  # noqa: B018 - both kinds of edge read them
         return X.transfer_edges(self.transactions(), self.transfers())
 
     @cached_property
@@ -483,7 +485,7 @@ def captured(star: Star) -> DataFrame:
                    F.concat(F.lit("0x"), u256.from_long(F.col("price"))).alias("data"), h(F.col("tx_index") + 100).alias("logIndex"))
     receipt = F.struct(F.col("tx_hash").alias("transactionHash"), F.col("block_hash").alias("blockHash"), h(F.col("status")).alias("status"),
                        F.when(F.col("l_linestatus") == "F", F.array(log)).otherwise(F.array()).alias("logs"))
-    blocks = star.plain_facts.groupBy("block_number", "block_hash", "block_timestamp").agg(  # a few lines an order
+    blocks = star.facts.groupBy("block_number", "block_hash", "block_timestamp").agg(  # a few lines an order
         F.sort_array(F.collect_list(F.struct("tx_index", tx.alias("t"), receipt.alias("r")))).alias("x"))
     block = F.struct(h(F.col("block_number")).alias("number"), F.col("block_hash").alias("hash"), F.col("block_hash").alias("parentHash"),
                      h(F.unix_seconds(F.col("block_timestamp").cast("timestamp"))).alias("timestamp"), F.col("x.t").alias("transactions"))
